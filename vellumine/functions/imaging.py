@@ -1,0 +1,125 @@
+"""Pixel steps of text erasure in NumPy: masks, background samples, fills.
+
+Images are ``uint8`` arrays (height, width, 3), blue first.  Decoding and
+encoding files is left to a plug-in; ``erased`` works on raw pixel bytes.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+
+from vellumine.operators.layout import component_labels, same_block
+
+# Linear sRGB to XYZ, rows X Y Z, and the D65 white point.
+_XYZ = np.array([[0.412453, 0.357580, 0.180423], [0.212671, 0.715160, 0.072169], [0.019334, 0.119193, 0.950227]])
+_WHITE = np.array([0.950456, 1.0, 1.088754])
+
+
+def lab(pixels: np.ndarray) -> np.ndarray:
+    """CIE L*a*b* of blue-green-red pixels (..., 3), L from 0 to 100."""
+    rgb = pixels[..., ::-1].astype(float) / 255
+    linear = np.where(rgb <= 0.04045, rgb / 12.92, ((rgb + 0.055) / 1.055) ** 2.4)
+    t = linear @ _XYZ.T / _WHITE
+    f = np.where(t > 0.008856, np.cbrt(t), 7.787 * t + 16 / 116)
+    return np.stack((116 * f[..., 1] - 16, 500 * (f[..., 0] - f[..., 1]), 200 * (f[..., 1] - f[..., 2])), axis=-1)
+
+
+def robust_threshold(values: np.ndarray, minimum: float, cap: float = 65.0) -> float:
+    """Median plus four robust deviations, at least ``minimum``, at most ``cap``."""
+    if not len(values):
+        return minimum
+    middle = np.median(values)
+    spread = 1.4826 * np.median(np.abs(values - middle))
+    return float(min(cap, max(minimum, middle + 4 * max(1.0, spread))))
+
+
+def ring(shape: tuple[int, int], box: tuple[int, int, int, int], wide: int) -> np.ndarray:
+    """Mask of the frame of ``wide`` pixels around a box."""
+    out = np.zeros(shape, bool)
+    x1, y1, x2, y2 = box
+    out[max(0, y1 - wide) : y2 + wide, max(0, x1 - wide) : x2 + wide] = True
+    out[y1:y2, x1:x2] = False
+    return out
+
+
+def fill_colour(pixels: np.ndarray, mean: bool = False, share: float = 70.0) -> tuple[np.ndarray, int]:
+    """Colour of the coherent part of a sample (n, 3), and its size; under 8 pixels raises ValueError."""
+    if len(pixels) < 8:
+        raise ValueError("too few pixels to sample")
+    colours = lab(pixels)
+    away = np.linalg.norm(colours - np.median(colours, axis=0), axis=1)
+    kept = pixels[away <= max(2.0, np.percentile(away, share))]
+    kept = pixels if len(kept) < 8 else kept
+    middle = kept.astype(float).mean(axis=0) if mean else np.median(kept.astype(float), axis=0)
+    return np.rint(middle).astype(np.uint8), len(kept)
+
+
+def components8(mask: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Rows and columns of each 8-connected component, by runs of each line joined to those they touch above."""
+    runs = []
+    for y, line in enumerate(mask):
+        edge = np.diff(line.astype(np.int8), prepend=0, append=0)
+        runs += [(y, a, b) for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)]
+    if not runs:
+        return []
+    r = np.array(runs)
+    near = (r[:, None, 0] - r[None, :, 0] == 1) & (r[:, None, 1] <= r[None, :, 2]) & (r[None, :, 1] <= r[:, None, 2])
+    label = component_labels(near)
+    out = []
+    for c in np.unique(label):
+        own = r[label == c]
+        out.append((np.concatenate([np.full(b - a, y) for y, a, b in own]), np.concatenate([np.arange(a, b) for _, a, b in own])))
+    return out
+
+
+def ink_mask(patch: np.ndarray, background: np.ndarray, least: float) -> np.ndarray:
+    """Pixels of a patch whose colour differs from the background, without specks, rules and what runs off the edge."""
+    away = np.linalg.norm(lab(patch) - lab(background[None, :])[0], axis=-1)
+    frame = np.concatenate((away[0], away[-1], away[:, 0], away[:, -1]))
+    h, w = away.shape
+    out = np.zeros((h, w), bool)
+    for y, x in components8(away > robust_threshold(frame, least)):
+        tall, wide = np.ptp(y) + 1, np.ptp(x) + 1
+        rule = wide >= 0.8 * w and tall <= max(3, 0.25 * h)
+        off = y.min() == 0 or x.min() == 0 or y.max() == h - 1 or x.max() == w - 1
+        if len(y) >= max(4, 0.10 * h) and not rule and not off:
+            out[y, x] = True
+    return out
+
+
+def erase_blocks(image: np.ndarray, boxes: list[list[int]], padding: int = 2, wide: int = 4) -> tuple[np.ndarray, list[dict]]:
+    """Lines grouped into blocks, each block painted in the colour of the ring around it (of the page, if it is too small)."""
+    out, details = image.copy(), []
+    if not boxes:
+        return out, details
+    lines = np.array(boxes, float)
+    label = component_labels(same_block(lines))
+    h, w = image.shape[:2]
+    groups = sorted((np.flatnonzero(label == c) for c in np.unique(label)), key=lambda g: (lines[g, 1].min(), lines[g, 0].min()))
+    for k, g in enumerate(groups):
+        low, high = lines[g, :2].min(axis=0) - padding, lines[g, 2:].max(axis=0) + padding
+        box = (max(0, int(low[0])), max(0, int(low[1])), min(w, int(high[0])), min(h, int(high[1])))
+        sample = image[ring((h, w), box, wide)]
+        colour, n = fill_colour(sample if len(sample) >= 8 else image.reshape(-1, 3))
+        out[box[1] : box[3], box[0] : box[2]] = colour
+        details.append({"id": f"block-{k + 1:04d}", "lines": g.tolist(), "box": list(box), "fill": colour.tolist(), "sampled": n})
+    return out, details
+
+
+def erased(pages: DataFrame) -> DataFrame:
+    """Pages (page, width, height, pixels, boxes) with their text painted over: ``page, pixels, blocks``."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for r in frame.itertuples():
+                image = np.frombuffer(r.pixels, np.uint8).reshape(r.height, r.width, 3)
+                clean, details = erase_blocks(image, [list(map(int, b)) for b in r.boxes])
+                rows.append((r.page, clean.tobytes(), len(details)))
+            yield pd.DataFrame(rows, columns=["page", "pixels", "blocks"])
+
+    return pages.select("page", "width", "height", "pixels", "boxes").mapInPandas(run, "page int, pixels binary, blocks int")
