@@ -134,7 +134,7 @@ def test_toxicity(spark):
     docs = spark.createDataFrame([*rows, (None, None)], "doc_id long, text string")
     graded = spark.createDataFrame([*labels, (None, 1, 1), (3, 0, 1)], "doc_id long, toxic int, quality int").select("doc_id", toxicity.grades(F.col("toxic"), F.col("quality")).alias("grade"))
     model = toxicity.fit(docs, graded)
-    assert set(model.weights) == {"vile", "rotten", "nasty"} and model.thresholds == sorted(model.thresholds)
+    assert set(model.weights) == {"vile", "rotten", "rotte*", "nasty", "nasty*"} and model.thresholds == sorted(model.thresholds)
     found = {r.doc_id: r for r in toxicity.rate_documents(docs, model).collect()}
     assert all(found[k].rejected == (k % 5 == 0) for k in range(400)) and not found[None].rejected
     assert toxicity.keep_civil(docs, model).columns == docs.columns and toxicity.keep_civil(docs, model).count() == 321
@@ -149,7 +149,7 @@ def test_ordinal_fit_recovers_order():
     y = np.minimum(2, (x + rng.normal(0, 0.5, 2000) > 1.0).astype(int) + (x + rng.normal(0, 0.5, 2000) > 2.5))
     w, t = toxicity.fit_links([[(0, float(v))] for v in x], y, np.ones(2000), 1, 3)
     assert w[0] > 1 and t[0] < t[1]
-    scores = [toxicity.OrdinalModel({"a": float(w[0])}, t.tolist()).score(" a" * n) for n in range(4)]
+    scores = toxicity.OrdinalModel({"a": float(w[0])}, t.tolist()).scores([" a" * n for n in range(4)])
     assert scores == sorted(scores)
 
 

@@ -7,10 +7,12 @@ score is its expected grade, the sum of these probabilities.
 The model is fitted on at most ``max_rows`` labelled documents (those with the
 least hash of their id).  Near copies there count once together: a row weighs
 one over the number of rows with its least word-shingle hash.  Features are
-the words whose rate of graded rows departs from that of all rows by at least
-``min_z`` standard errors; a word's value is ``1 + log(count)``.
+the words and word beginnings (of 5 and 7 letters) whose rate of graded rows
+departs from that of all rows by at least ``min_z`` standard errors.  A
+feature's value is its damped frequency, ``SCALE * count / (words + DAMP)``,
+so that long texts do not become severe by containing everything once.
 
-Defined results: a null text is empty; a text without known words has the
+Defined results: a null text is empty; a text without known features has the
 base severity; labels without a grade are not used; of several labels of a
 document the highest holds; with no usable labels every severity is 0.
 """
@@ -29,6 +31,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Letters of the word beginnings that are features beside whole words.
+BEGINNINGS = (5, 7)
+SCALE, DAMP = 200.0, 100.0
+#: Words whose weight a worker remembers before it starts afresh.
+REMEMBERED = 300_000
+
 _words = re.compile(r"[^\W\d_]+")
 
 
@@ -36,21 +44,39 @@ def words(text: str) -> list[str]:
     return _words.findall(text.lower())
 
 
+def features(word: str) -> list[str]:
+    """The word, and its beginnings marked by a star."""
+    return [word, *[word[:k] + "*" for k in BEGINNINGS if len(word) >= k]]
+
+
+class _WordWeights(dict):
+    """Sum of the weights of each word's features, worked out once."""
+
+    def __init__(self, weights: dict[str, float]):
+        self.weights = weights
+
+    def __missing__(self, word: str) -> float:
+        if len(self) > REMEMBERED:
+            self.clear()
+        value = self[word] = sum(self.weights.get(x, 0.0) for x in features(word))
+        return value
+
+
 @dataclass
 class OrdinalModel:
-    """Weights of words, and thresholds in ascending order."""
+    """Weights of features, and thresholds in ascending order."""
 
     weights: dict[str, float]
     thresholds: list[float]
 
-    def score(self, text: str) -> float:
-        found = words(text)
-        known = self.weights.keys() & set(found) if self.weights else ()
-        x = 0.0
-        if known:
-            counts = Counter(w for w in found if w in known)
-            x = sum(self.weights[w] * (1 + math.log(c)) for w, c in sorted(counts.items()))
-        return sum(1 / (1 + math.exp(-max(-500.0, min(500.0, x - t)))) for t in self.thresholds)
+    def scores(self, texts: Iterable[str]) -> list[float]:
+        """Expected grade of each text."""
+        known, out = _WordWeights(self.weights), []
+        for text in texts:
+            found = words(text)
+            x = SCALE * math.fsum(map(known.__getitem__, found)) / (len(found) + DAMP) if self.weights else 0.0
+            out.append(sum(1 / (1 + math.exp(-max(-500.0, min(500.0, x - t)))) for t in self.thresholds))
+        return out
 
 
 def grades(toxic: Column, quality: Column) -> Column:
@@ -58,7 +84,7 @@ def grades(toxic: Column, quality: Column) -> Column:
     return F.when(toxic == 0, 0).when((toxic == 1) & (F.coalesce(quality, F.lit(1)) == 0), 2).when(toxic == 1, 1)
 
 
-def fit_links(rows: list[list[tuple[int, float]]], y: np.ndarray, weight: np.ndarray, n_features: int, n_grades: int, penalty: float = 1.0, steps: int = 600) -> tuple[np.ndarray, np.ndarray]:
+def fit_links(rows: list[list[tuple[int, float]]], y: np.ndarray, weight: np.ndarray, n_features: int, n_grades: int, penalty: float = 0.02, steps: int = 800) -> tuple[np.ndarray, np.ndarray]:
     """Weighted maximum likelihood with a quadratic penalty, by full-batch Adam steps from a fixed start."""
     lengths = [len(r) for r in rows]
     at = np.repeat(np.arange(len(rows)), lengths)
@@ -89,7 +115,7 @@ def fit_links(rows: list[list[tuple[int, float]]], y: np.ndarray, weight: np.nda
     return z[:n_features], z[n_features] + np.concatenate(([0.0], np.cumsum(np.exp(z[n_features + 1 :]))))
 
 
-_SAMPLED = "grade int, bucket long, words array<string>, counts array<int>"
+_SAMPLED = "grade int, bucket long, features array<string>, amounts array<double>"
 
 
 def _sampled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,15 +126,19 @@ def _sampled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for grade, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             found = words(text)
             shingles = {" ".join(found[k : k + 5]) for k in range(max(1, len(found) - 4))}
-            counts = Counter(found)
-            for column, x in zip(out, (grade, min(map(xxhash.xxh64_intdigest, shingles)) >> 1, list(counts), list(counts.values())), strict=True):
+            counts: Counter[str] = Counter()
+            for word, n in Counter(found).items():
+                for feature in features(word):
+                    counts[feature] += n
+            amounts = [SCALE * n / (len(found) + DAMP) for n in counts.values()]
+            for column, x in zip(out, (grade, min(map(xxhash.xxh64_intdigest, shingles)) >> 1, list(counts), amounts), strict=True):
                 column.append(x)
-        kinds = (pa.int32(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int32()))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], ["grade", "bucket", "words", "counts"])
+        kinds = (pa.int32(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.float64()))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], ["grade", "bucket", "features", "amounts"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_features: int = 4096, min_rows: float = 5, min_z: float = 8, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade") -> OrdinalModel:
-    """Fit on the labelled rows of ``labels`` (id, grade); at most ``max_rows`` rows and ``max_features`` words reach the driver."""
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_features: int = 4096, min_rows: float = 5, min_z: float = 7, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade") -> OrdinalModel:
+    """Fit on the labelled rows of ``labels`` (id, grade); at most ``max_rows`` rows and ``max_features`` features reach the driver."""
     from vellumine.llm._shared import cut
 
     graded = labels.select(F.col(id_col).cast("long").alias("id"), F.col(grade_col).cast("int").alias("grade")).where("id IS NOT NULL AND grade IS NOT NULL")
@@ -122,15 +152,15 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_features
     if not total.n or not total.k:
         return OrdinalModel({}, [])
     rate = min(max(total.k / total.n, 1e-4), 1 - 1e-4)
-    stats = rows.select(F.explode("words").alias("word"), "weight", F.when(F.col("grade") > 0, F.col("weight")).otherwise(0.0).alias("hit")).groupBy("word").agg(F.sum("weight").alias("n"), F.sum("hit").alias("k"))
+    stats = rows.select(F.explode("features").alias("feature"), "weight", F.when(F.col("grade") > 0, F.col("weight")).otherwise(0.0).alias("hit")).groupBy("feature").agg(F.sum("weight").alias("n"), F.sum("hit").alias("k"))
     z = F.abs(F.col("k") - F.col("n") * rate) / F.sqrt(F.col("n") * rate * (1 - rate))
-    best = stats.withColumn("z", z).where((F.col("n") >= min_rows - 1e-9) & (F.col("z") >= min_z)).orderBy(F.desc("z"), "word").limit(max_features).collect()
-    vocabulary = {r.word: i for i, r in enumerate(best)}
+    best = stats.withColumn("z", z).where((F.col("n") >= min_rows - 1e-9) & (F.col("z") >= min_z)).orderBy(F.desc("z"), "feature").limit(max_features).collect()
+    vocabulary = {r.feature: i for i, r in enumerate(best)}
     known = F.array(*map(F.lit, vocabulary)) if vocabulary else F.array().cast("array<string>")
-    pairs = F.filter(F.arrays_zip("words", "counts"), lambda x: F.array_contains(known, x["words"]))
+    pairs = F.filter(F.arrays_zip("features", "amounts"), lambda x: F.array_contains(known, x["features"]))
     data = rows.select("grade", "weight", pairs.alias("pairs")).toArrow().to_pydict()
-    order = sorted(range(len(data["grade"])), key=lambda k: (data["grade"][k], data["weight"][k], [(p["words"], p["counts"]) for p in data["pairs"][k]]))
-    matrix = [[(vocabulary[p["words"]], 1 + math.log(p["counts"])) for p in data["pairs"][k]] for k in order]
+    order = sorted(range(len(data["grade"])), key=lambda k: (data["grade"][k], data["weight"][k], [(p["features"], p["amounts"]) for p in data["pairs"][k]]))
+    matrix = [[(vocabulary[p["features"]], p["amounts"]) for p in data["pairs"][k]] for k in order]
     y, weight = (np.array([data[c][k] for k in order]) for c in ("grade", "weight"))
     w, t = fit_links(matrix, y, weight, len(vocabulary), int(total.most) + 1)
     return OrdinalModel({x: float(w[i]) for x, i in vocabulary.items()}, t.tolist())
@@ -141,7 +171,7 @@ def severity(model: OrdinalModel, text: Column) -> Column:
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        return pd.Series([model.score(t) for t in texts], dtype="float64")
+        return pd.Series(model.scores(texts), dtype="float64")
 
     return score(F.coalesce(text, F.lit("")))
 
