@@ -1 +1,21 @@
 """Document-record analytics for PySpark."""
+
+from __future__ import annotations
+
+import tempfile
+import zipfile
+from pathlib import Path
+
+
+def ship(spark) -> None:
+    """Send this package to the executors, once for each Spark context."""
+    context = spark.sparkContext
+    if getattr(context, "_has_vellumine", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="vellumine-")) / "vellumine.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as file:
+        for path in sorted(root.rglob("*.py")):
+            file.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._has_vellumine = True
