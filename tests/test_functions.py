@@ -98,3 +98,33 @@ def test_retries(spark):
         providers.retried(lambda r: (_ for _ in ()).throw(providers.CallError("no", 400)), pause=lambda s: None)("x")
     rows = providers.called(spark.createDataFrame([(1, "a")], "id int, q string"), "q", lambda: providers.stub, "p", "m").collect()
     assert rows[0].call.content == "A" and rows[0].call.error is None
+
+
+def test_typesetting():
+    from vellumine.functions import typesetting as ts
+
+    measure = lambda x, size: len(x) * size * 0.5
+    assert ts.grid(1.0, 1.2, 0.05) == [1.0, 1.05, 1.1, 1.15, 1.2] and ts.grid(11, 11, -0.5) == [11]
+    rect, size, lines, ratio = ts.fitted("one two three", measure, (100, 100, 160, 130), (0, 0, 400, 400), 11.0)
+    assert size == 11.0 and ratio <= 1 and " ".join(lines) == "one two three" and rect[2] - rect[0] >= 60
+    assert ts.container((0, 0, 50, 10), (0, 0, 400, 400), 1.0)[0] == 6.0
+    size, lines, height = ts.shrunk("x" * 100, measure, (0, 0, 50, 30), 11.0)
+    assert size == 7.0 and height > 30
+
+
+def test_bubble():
+    import numpy as np
+
+    from vellumine.functions import imaging
+
+    image = np.full((100, 120, 3), 90, np.uint8)
+    image[20:60, 30:90] = 250
+    image[35:40, 50:70] = 0
+    white = np.array([250, 250, 250], np.uint8)
+    mask, reason = imaging.closed_bubble(image, (44, 28, 76, 46), white, of_image=0.5)
+    assert reason == "closed_uniform_component" and mask.sum() == 40 * 60 - 4 and mask[37, 60]
+    clean, blocks = imaging.erase_blocks(image, [[48, 33, 72, 42]], bubbles=True)
+    assert blocks[0]["reason"] == "bubble_too_large_relative_to_image" and (clean[33:42, 48:72] == 250).all()
+    assert imaging.closed_bubble(np.full((50, 50, 3), 250, np.uint8), (10, 10, 20, 20), white)[1] == "component_touches_image_edge"
+    plus = np.array([[1, 0], [0, 1]], bool)
+    assert len(imaging.components(plus)) == 1 and len(imaging.components(plus, diagonal=False)) == 2

@@ -58,22 +58,40 @@ def fill_colour(pixels: np.ndarray, mean: bool = False, share: float = 70.0) ->
     return np.rint(middle).astype(np.uint8), len(kept)
 
 
-def components8(mask: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Rows and columns of each 8-connected component, by runs of each line joined to those they touch above."""
-    runs = []
+def components(mask: np.ndarray, diagonal: bool = True) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Rows and columns of each connected component, in reading order.
+
+    Each line's runs are joined to the runs of the line above that they touch.
+    """
+    runs: list[tuple[int, int, int]] = []
+    parent: list[int] = []
+
+    def root(k: int) -> int:
+        while parent[k] != k:
+            parent[k] = parent[parent[k]]
+            k = parent[k]
+        return k
+
+    above, reach = range(0), int(diagonal)
     for y, line in enumerate(mask):
         edge = np.diff(line.astype(np.int8), prepend=0, append=0)
-        runs += [(y, a, b) for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)]
-    if not runs:
-        return []
-    r = np.array(runs)
-    near = (r[:, None, 0] - r[None, :, 0] == 1) & (r[:, None, 1] <= r[None, :, 2]) & (r[None, :, 1] <= r[:, None, 2])
-    label = component_labels(near)
-    out = []
-    for c in np.unique(label):
-        own = r[label == c]
-        out.append((np.concatenate([np.full(b - a, y) for y, a, b in own]), np.concatenate([np.arange(a, b) for _, a, b in own])))
-    return out
+        first = len(runs)
+        runs += [(y, a, b) for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True)]
+        parent += range(first, len(runs))
+        j = above.start
+        for k in range(first, len(runs)):
+            while j < above.stop and runs[j][2] + reach <= runs[k][1]:
+                j += 1
+            i = j
+            while i < above.stop and runs[i][1] < runs[k][2] + reach:
+                x, z = sorted((root(i), root(k)))
+                parent[z] = x
+                i += 1
+        above = range(first, len(runs))
+    members: dict[int, list[tuple[int, int, int]]] = {}
+    for k, run in enumerate(runs):
+        members.setdefault(root(k), []).append(run)
+    return [(np.concatenate([np.full(b - a, y) for y, a, b in own]), np.concatenate([np.arange(a, b) for _, a, b in own])) for own in members.values()]
 
 
 def ink_mask(patch: np.ndarray, background: np.ndarray, least: float) -> np.ndarray:
@@ -82,7 +100,7 @@ def ink_mask(patch: np.ndarray, background: np.ndarray, least: float) -> np.ndar
     frame = np.concatenate((away[0], away[-1], away[:, 0], away[:, -1]))
     h, w = away.shape
     out = np.zeros((h, w), bool)
-    for y, x in components8(away > robust_threshold(frame, least)):
+    for y, x in components(away > robust_threshold(frame, least)):
         tall, wide = np.ptp(y) + 1, np.ptp(x) + 1
         rule = wide >= 0.8 * w and tall <= max(3, 0.25 * h)
         off = y.min() == 0 or x.min() == 0 or y.max() == h - 1 or x.max() == w - 1
@@ -91,8 +109,71 @@ def ink_mask(patch: np.ndarray, background: np.ndarray, least: float) -> np.ndar
     return out
 
 
-def erase_blocks(image: np.ndarray, boxes: list[list[int]], padding: int = 2, wide: int = 4) -> tuple[np.ndarray, list[dict]]:
-    """Lines grouped into blocks, each block painted in the colour of the ring around it (of the page, if it is too small)."""
+def _shifted(mask: np.ndarray, grow: bool) -> np.ndarray:
+    """Grown, or shrunk, by a cross of three pixels; beyond the edge there is nothing."""
+    wide = np.pad(mask, 1, constant_values=not grow)
+    around = np.stack((mask, wide[:-2, 1:-1], wide[2:, 1:-1], wide[1:-1, :-2], wide[1:-1, 2:]))
+    return around.any(axis=0) if grow else around.all(axis=0)
+
+
+def _filled(mask: np.ndarray) -> np.ndarray:
+    """The mask with its holes: what is not joined to the outside."""
+    out = np.pad(mask, 1)
+    outside = components(~out, diagonal=False)[0]  # the corner of the padding comes first
+    out[:] = True
+    out[outside] = False
+    return out[1:-1, 1:-1]
+
+
+def closed_bubble(image: np.ndarray, box: tuple[int, int, int, int], background: np.ndarray, distance: float = 12.0, area: tuple[float, float] = (0.75, 8.0), of_image: float = 0.12) -> tuple[np.ndarray | None, str]:
+    """Mask of the closed, even area around a text block, or None and the first rule that it breaks."""
+    h, w = image.shape[:2]
+    x1, y1, x2, y2 = box
+    alike = np.linalg.norm(lab(image) - lab(background[None, :])[0], axis=-1) <= distance
+    alike = _shifted(_shifted(alike, grow=False), grow=True)
+    found = components(alike)
+    if not found:
+        return None, "no_background_component"
+    margin = max(4, round(0.06 * min(x2 - x1, y2 - y1)))
+    zone = np.zeros((h, w), bool)
+    zone[max(0, y1 - margin) : y2 + margin, max(0, x1 - margin) : x2 + margin] = True
+    votes = [int(zone[c].sum()) for c in found]
+    if not max(votes):
+        return None, "no_seed_component"
+    rows, columns = found[votes.index(max(votes))]
+    left, top, right, bottom = columns.min(), rows.min(), columns.max() + 1, rows.max() + 1
+    if left == 0 or top == 0 or right == w or bottom == h:
+        return None, "component_touches_image_edge"
+    bubble = np.zeros((h, w), bool)
+    bubble[rows, columns] = True
+    bubble = _filled(bubble)
+    block, size = max(1, (x2 - x1) * (y2 - y1)), int(bubble.sum())
+    inside = bubble[y1:y2, x1:x2]
+    beyond = [x1 - left >= 2, right - x2 >= 2, y1 - top >= 2, bottom - y2 >= 2]
+    broken = {
+        "bubble_does_not_cover_text_block": not inside.size or inside.mean() < 0.85,
+        "bubble_too_small": size / block < area[0],
+        "bubble_too_large_relative_to_block": size / block > area[1],
+        "bubble_too_large_relative_to_image": size / (h * w) > of_image,
+        "component_extent_too_large": right - left > 3 * max(1, x2 - x1) or bottom - top > 3 * max(1, y2 - y1),
+        "insufficient_bubble_margin": sum(beyond) < 3,
+    }
+    reason = next((name for name, wrong in broken.items() if wrong), None)
+    return (None, reason) if reason else (bubble, "closed_uniform_component")
+
+
+def bubble_colour(image: np.ndarray, bubble: np.ndarray, background: np.ndarray, distance: float = 12.0, shrink: int = 2) -> np.ndarray:
+    """Colour of a bubble's inside, away from its outline; the background's where too little is left."""
+    safe = bubble
+    for _ in range(shrink):
+        safe = _shifted(safe, grow=False)
+    near = np.linalg.norm(lab(image) - lab(background[None, :])[0], axis=-1) <= max(1.35 * distance, distance + 4)
+    pixels = image[safe & near]
+    return fill_colour(pixels)[0] if len(pixels) >= 16 else background
+
+
+def erase_blocks(image: np.ndarray, boxes: list[list[int]], padding: int = 2, wide: int = 4, bubbles: bool = False) -> tuple[np.ndarray, list[dict]]:
+    """Lines grouped into blocks, each block (or the bubble around it) painted in the colour of its ring (of the page, if that is too small)."""
     out, details = image.copy(), []
     if not boxes:
         return out, details
@@ -105,8 +186,13 @@ def erase_blocks(image: np.ndarray, boxes: list[list[int]], padding: int = 2, wi
         box = (max(0, int(low[0])), max(0, int(low[1])), min(w, int(high[0])), min(h, int(high[1])))
         sample = image[ring((h, w), box, wide)]
         colour, n = fill_colour(sample if len(sample) >= 8 else image.reshape(-1, 3))
-        out[box[1] : box[3], box[0] : box[2]] = colour
-        details.append({"id": f"block-{k + 1:04d}", "lines": g.tolist(), "box": list(box), "fill": colour.tolist(), "sampled": n})
+        bubble, reason = closed_bubble(image, box, colour) if bubbles else (None, "not looked for")
+        if bubble is None:
+            out[box[1] : box[3], box[0] : box[2]] = colour
+        else:
+            colour = bubble_colour(image, bubble, colour)
+            out[bubble] = colour
+        details.append({"id": f"block-{k + 1:04d}", "lines": g.tolist(), "box": list(box), "fill": colour.tolist(), "sampled": n, "strategy": "block" if bubble is None else "bubble", "reason": reason})
     return out, details
 
 
