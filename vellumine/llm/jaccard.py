@@ -10,15 +10,21 @@ different sets is lost, and pairs within a group are never listed:
    ``n - ceil(t n) + 1`` can be the first that a linked set shares (prefix
    filter).  The token matrix has a row for each such shingle and class, as
    far as another class has the shingle too.
+   Classes that share too few with classes of any size near their own leave it.
 3. Groups: classes take the least class of a shingle for their leader, and
-   one of them, verified, joins the leader's group; then members of one group
-   are verified against witnesses of another.
+   one of them, verified, joins the leader's group; then, in rounds, members
+   of one group are verified against witnesses of another.
 4. A group's union is its rows of the matrix.  A class of another group
    shares a count of shingles with the union; count plus what lies beyond the
    prefix bounds the overlap with every member.  Only where the bound reaches
    what a link needs is the group opened: its members that share shingles are
    bounded one by one and, if they qualify, verified on whole sets.
 
+Whole sets are read again from the texts, only for classes that stay in the
+matrix: a Bloom filter of fixed size passes over the others before anything
+moves, and the sets are stored in buckets by class, so that verifying moves
+the pairs and not the sets.
+
 Classes in one group are linked already, so a group of thousands of near
 copies costs one verification for each of them.  Verified pairs, groups and
 components stay in tables; only counts and the sketch reach the driver.
@@ -37,11 +43,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vellumine.llm._shared import cut
-from vellumine.llm.shingles import shingle_sets
+from vellumine.llm._shared import cut, new_dir
+from vellumine.llm.shingles import mixed, shingle_sets
 
 #: Slots of the sketch that tells frequent shingles (a power of two).
-SLOTS = 1 << 20
+SLOTS = 1 << 22
+#: Bits of the Bloom filter of classes (a power of two), and witnesses and rounds for each two groups.
+FILTER_BITS = 1 << 24
+WITNESSES, ROUNDS = 6, 2
+#: Sizes within a factor of 1.03 are one size band.
+BAND = 1.03
 #: Texts shingled together.
 TOGETHER = 256
 
@@ -58,7 +69,6 @@ def _sets(batch: pa.RecordBatch) -> Iterator[tuple[list, np.ndarray, np.ndarray]
 def _classed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Size and digest of each set; at the end a row with the sketch of all."""
     import xxhash
-    import zstandard
 
     sketch = np.zeros(SLOTS, np.uint32)
     names = ["doc_id", "n", "digest", "sketch"]
@@ -68,36 +78,69 @@ def _classed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             digests = [xxhash.xxh3_128_digest(values[a:b].tobytes()) if b > a else None for a, b in zip(offsets, offsets[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(offsets)), pa.array(digests, pa.binary()), pa.nulls(len(ids), pa.binary())], names)
     if sketch.any():
-        packed = zstandard.ZstdCompressor(level=1).compress(sketch.astype("<u8").tobytes())
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([packed], pa.binary())], names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([_packed(sketch)], pa.binary())], names)
+
+
+def _combined(add: np.ufunc):
+    """Combine the packed arrays of a partition into one."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for packed in batch.column(0).to_pylist():
+                array = _unpacked(packed)
+                total = array.copy() if total is None else add(total, array)
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([_packed(total)], pa.binary())], ["packed"])
+
+    return run
 
 
-def _added(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One sketch: the sum of the partition's."""
+def _packed(array: np.ndarray) -> bytes:
     import zstandard
 
-    total = None
-    for batch in batches:
-        for packed in batch.column(0).to_pylist():
-            counts = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), "<u8")
-            total = counts.copy() if total is None else total + counts
-    if total is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([zstandard.ZstdCompressor(level=1).compress(total.tobytes())], pa.binary())], ["sketch"])
+    return zstandard.ZstdCompressor(level=1).compress(array.astype("<u8").tobytes())
 
 
-def _frequent(classed: DataFrame) -> np.ndarray:
-    """Slots that hold markedly more than an even share: those of frequent shingles."""
+def _unpacked(packed: bytes) -> np.ndarray:
     import zstandard
 
-    sketches = classed.where(F.col("sketch").isNotNull()).select("sketch")
-    n = sketches.rdd.getNumPartitions()
-    while n > 1:  # a tree of sums: no task adds more than 16 partitions' sketches
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), "<u8")
+
+
+def _total(rows: DataFrame, add: np.ufunc, size: int) -> np.ndarray:
+    """All packed arrays (a column of them) combined, by a tree: no task and not the driver takes more than 16."""
+    n = rows.rdd.getNumPartitions()
+    rows = rows.toDF("packed").mapInArrow(_combined(add), "packed binary")
+    while n > 16:
         n = -(-n // 16)
-        sketches = sketches.coalesce(n).mapInArrow(_added, "sketch binary")
-    rows = sketches.mapInArrow(_added, "sketch binary").collect()
-    counts = sum((np.frombuffer(zstandard.ZstdDecompressor().decompress(r.sketch), "<u8").astype(np.float64) for r in rows), np.zeros(SLOTS))
+        rows = rows.coalesce(n).mapInArrow(_combined(add), "packed binary")
+    total = np.zeros(size, np.uint64)
+    for r in rows.collect():
+        total = add(total, _unpacked(r.packed))
+    return total
+
+
+def _frequent(classed: DataFrame) -> np.ndarray:
+    """Slots that hold markedly more than an even share: those of frequent shingles."""
+    counts = _total(classed.where(F.col("sketch").isNotNull()).select("sketch"), np.add, SLOTS).astype(float)
     mean = counts.mean()
-    return counts >= mean + max(48.0, 6 * mean**0.5)
+    return counts >= mean + max(24.0, 6 * mean**0.5)
+
+
+def _places(ids: np.ndarray) -> list[np.ndarray]:
+    """Bits of the filter that an id sets."""
+    h = mixed(ids.astype(np.int64).view(np.uint64))
+    return [((h >> np.uint64(k)) & np.uint64(FILTER_BITS - 1)).astype(np.int64) for k in (0, 24)]
+
+
+def _bits(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    bits = np.zeros(FILTER_BITS, bool)
+    for batch in batches:
+        for at in _places(batch.column(0).to_numpy()):
+            bits[at] = True
+    if bits.any():
+        yield pa.RecordBatch.from_arrays([pa.array([_packed(np.packbits(bits).view("<u8"))], pa.binary())], ["packed"])
 
 
 def _prefixes(frequent, num: int, den: int):
@@ -118,10 +161,28 @@ def _prefixes(frequent, num: int, den: int):
     return run
 
 
-def _whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for ids, values, offsets in _sets(batch):
-            yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.view(np.int64)))], ["rep", "tokens"])
+def _whole(passed):
+    """Sets of the documents that the Bloom filter passes."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(passed.value).view(bool)
+        for batch in batches:
+            first, second = _places(batch.column(0).to_numpy())
+            some = batch.filter(pa.array(bits[first] & bits[second]))
+            for ids, values, offsets in _sets(some):
+                yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.view(np.int64)))], ["rep", "tokens"])
+
+    return run
+
+
+def _bucketed(df: DataFrame, by: str, name: str) -> DataFrame:
+    """Like ``cut``, in buckets: joins on ``by`` do not move these rows."""
+    spark = df.sparkSession
+    uri = new_dir(spark, name)
+    table = uri.rpartition("/")[2].replace("-", "_")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(n, by).sortBy(by).option("path", uri).saveAsTable(table)
+    return spark.table(table)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -152,6 +213,11 @@ def _beyond(n, num: int, den: int):
     return F.ceil(n * F.lit(num) / F.lit(den) - F.lit(1e-9)) - 1
 
 
+def _reach(num: int, den: int) -> int:
+    """Bands up to the largest linked size."""
+    return int(np.ceil(np.log(den / num) / np.log(BAND))) + 1
+
+
 def link_documents(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row."""
     spark = docs.sparkSession
@@ -169,16 +235,23 @@ def link_documents(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", t
     matrix = prefixes.select(F.explode("tokens").alias("token"), "rep", "n").withColumn("sharing", sharing)
     matrix = cut(matrix.where("sharing > 1").drop("sharing"), "jaccard-matrix")
 
-    # Whole sets of the classes that share enough of their prefix to link with anything.
-    near = matrix.groupBy("token").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    # Classes that share enough of their prefix with classes of some size to link with one.
+    band = F.floor(F.log(F.col("n")) / float(np.log(BAND))).cast("int")
+    near = matrix.groupBy("token", band.alias("band")).agg(F.count("*").alias("k"))
+    seen = matrix.withColumn("own", band).join(near, "token").where(F.abs(F.col("band") - F.col("own")) <= _reach(num, den))
+    seen = seen.where((F.col("band") != F.col("own")) | (F.col("k") > 1)).groupBy("rep", "n", "band").agg(F.count("*").alias("c"))
+    low, high = (F.pow(F.lit(BAND), F.col("band") + k) for k in (0, 1))
+    low, high = F.greatest(F.ceil(low - 1e-6), F.ceil(F.col("n") * num / den - 1e-9)), F.least(F.floor(high + 1e-6), F.floor(F.col("n") * den / num + 1e-9))
+    # What a link needs beyond the two prefixes is least at one end of the band.
+    lacks = lambda m: _needed(F.col("n"), m, num, den) - _beyond(F.greatest(F.col("n"), m), num, den)
+    able = seen.where((low <= high) & (F.col("c") >= F.least(lacks(low), lacks(high)) - 1)).select("rep").distinct()
+    able = cut(able, "jaccard-able")
+    passed = spark.sparkContext.broadcast(_total(able.mapInArrow(_bits, "packed binary"), np.bitwise_or, FILTER_BITS // 64).astype("<u8").view(np.uint8))
+    sets = named.mapInArrow(_whole(passed), "rep long, tokens array<long>").join(able, "rep", "left_semi")
+    sets = _bucketed(sets, "rep", "jaccard-sets")
+    matrix = cut(matrix.join(able, "rep", "left_semi"), "jaccard-matrix")
     least = F.greatest(F.col("lo"), F.ceil(F.col("n") * num / den - 1e-9))
-    seen = matrix.join(near, "token").groupBy("rep", "n").agg(F.count("*").alias("c"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     top = F.least(F.col("hi"), F.floor(F.col("n") * den / num + 1e-9))
-    able = seen.where(F.col("c") + _beyond(F.greatest(F.col("n"), top), num, den) >= _needed(F.col("n"), least, num, den)).select("rep")
-    able = cut(able.distinct(), "jaccard-able")
-    sets = named.withColumnRenamed("doc_id", "rep").join(able, "rep", "left_semi").mapInArrow(_whole, "rep long, tokens array<long>")
-    sets = cut(sets, "jaccard-sets")
-    matrix = cut(matrix.join(able, "rep", "left_semi"), "jaccard-matrix")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Of the pairs (a, b), those that link."""
@@ -201,26 +274,25 @@ def link_documents(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", t
     likely = F.col("best.c") * 5 * den >= F.col("n") * (den - num)  # a fifth of the prefix; what is passed over here is met below
     links = cut(verified(votes.where(likely).select((-F.col("best.col2")).alias("a"), F.col("rep").alias("b"))), "jaccard-links")
 
-    def qualifying(rows: DataFrame) -> DataFrame:
+    def qualifying(rows: DataFrame, salt: int) -> DataFrame:
         """Classes and groups whose bound allows a link, with some members as witnesses; each two groups once."""
-        union = rows.groupBy("token", "group", "members").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min_by("rep", F.xxhash64("rep")).alias("witness"))
-        mixed = union.groupBy("token").agg(F.count("*").alias("groups")).where("groups > 1").select("token")
-        union = union.join(mixed, "token").select("token", F.col("group").alias("other"), F.col("members").alias("size"), "lo", "hi", "witness")
+        union = rows.groupBy("token", "group", "members").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min_by("rep", F.xxhash64(F.lit(salt), "token", "rep")).alias("witness"))
+        mixed_ = union.groupBy("token").agg(F.count("*").alias("groups")).where("groups > 1").select("token")
+        union = union.join(mixed_, "token").select("token", F.col("group").alias("other"), F.col("members").alias("size"), "lo", "hi", "witness")
         fits = (F.col("lo") * num <= F.col("n") * den) & (F.col("n") * num <= F.col("hi") * den)
         smaller = (F.col("members") < F.col("size")) | ((F.col("members") == F.col("size")) & (F.col("group") > F.col("other")))
         met = rows.join(union, "token").where(fits & smaller)
-        met = met.groupBy("rep", "n", "other").agg(F.count("*").alias("c"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("witness").alias("w1"), F.max("witness").alias("w2"), F.mode("witness", True).alias("w3"))
+        met = met.groupBy("rep", "n", "other").agg(F.count("*").alias("c"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.slice(F.array_sort(F.collect_set("witness")), 1, WITNESSES).alias("witnesses"))
         return met.where(F.col("c") + _beyond(F.greatest(F.col("n"), top), num, den) >= _needed(F.col("n"), least, num, den))
 
     # Witnesses of groups that qualify.
-    met = qualifying(grouped(links))
-    witnesses = met.select(F.explode(F.array_distinct(F.array("w1", "w2", "w3"))).alias("a"), F.col("rep").alias("b"))
-    more = cut(verified(witnesses.distinct()), "jaccard-links")
-    links = links.unionByName(more)
+    for salt in range(ROUNDS):
+        witnesses = qualifying(grouped(links), salt).select(F.explode("witnesses").alias("a"), F.col("rep").alias("b"))
+        links = links.unionByName(cut(verified(witnesses.distinct()), "jaccard-links"))
 
     # Opened groups: what still qualifies is bounded pair by pair.
     rows = cut(grouped(links), "jaccard-grouped")
-    open_ = cut(qualifying(rows).select(F.col("rep").alias("b"), F.col("other").alias("g")), "jaccard-open")
+    open_ = cut(qualifying(rows, ROUNDS).select(F.col("rep").alias("b"), F.col("other").alias("g")), "jaccard-open")
     asking = rows.join(open_, rows["rep"] == open_["b"]).select("token", "b", "g", F.col("n").alias("nb"))
     members = rows.select("token", F.col("group").alias("g"), F.col("rep").alias("a"), F.col("n").alias("na"))
     fits = (F.col("na") * num <= F.col("nb") * den) & (F.col("nb") * num <= F.col("na") * den)
