@@ -143,6 +143,28 @@ def test_toxicity(spark):
     assert toxicity.rate_documents(docs.limit(0), model).count() == 0
 
 
+def test_toxicity_of_a_minority_language(spark):
+    """One language has 300 toxic documents of 2,000, the other 5 of 40; each has words of its own."""
+    rng = random.Random(9)
+    words = {lang: [lang + "".join(rng.choices("aeiou", k=6)) for _ in range(60)] for lang in ("en", "de")}
+    bad = {lang: [x + "zz" for x in words[lang][:3]] for lang in words}
+    rows = []
+    for lang, n, every in (("en", 2000, 20), ("de", 40, 8)):
+        for k in range(n):
+            toxic = k % every < (3 if lang == "en" else 1)
+            rows.append((len(rows), " ".join(rng.choices(words[lang], k=30) + (rng.choices(bad[lang], k=4) if toxic else [])), lang, int(toxic)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, grade int")
+    fitted = lambda n: toxicity.fit(table.drop("grade"), table.select("doc_id", "grade"), max_rows=n)
+    for limit in (20_000, 300):
+        found = {r.doc_id: r.rejected for r in toxicity.rate_documents(table, fitted(limit)).collect()}
+        for lang in words:
+            assert all(found[r[0]] for r in rows if r[2] == lang and r[3])
+            assert not any(found[r[0]] for r in rows if r[2] == lang and not r[3])
+    taken = {(r.lang, r.grade): (r.n, r.share) for r in toxicity.sample(table, table.select("doc_id", "grade"), 300).groupBy("lang", "grade", "share").agg(F.count("*").alias("n")).collect()}
+    assert taken["de", 1] == (5, 1.0) and taken["de", 0] == (35, 1.0) and sum(n for n, _ in taken.values()) == 300
+    assert all(abs(taken["en", g][0] - 130) < 40 for g in (0, 1))
+
+
 def test_ordinal_fit_recovers_order():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 4, 2000)

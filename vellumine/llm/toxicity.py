@@ -4,17 +4,22 @@ Grades are ordered; one weight per word is shared by all thresholds:
 ``P(grade >= k) = sigmoid(w . x - t_k)``, with ``t_1 < t_2 < ...``.  A text's
 score is its expected grade, the sum of these probabilities.
 
-The model is fitted on at most ``max_rows`` labelled documents (those with the
-least hash of their id).  Near copies there count once together: a row weighs
-one over the number of rows with its least word-shingle hash.  Features are
-the words and word beginnings (of 5 and 7 letters) whose rate of graded rows
-departs from that of all rows by at least ``min_z`` standard errors.  A
-feature's value is its damped frequency, ``SCALE * count / (words + DAMP)``,
-so that long texts do not become severe by containing everything once.
+The model is fitted on at most ``max_rows`` labelled documents.  Where there
+are more, every language and grade gives as many as it has up to one common
+number (those with the least hash of their id), and a row of a stratum that is
+not whole weighs as many rows as it stands for.  Near copies count once
+together: a row weighs one over the number of rows with its least word-shingle
+hash.  Features are the words and word beginnings (of 5 and 7 letters) whose
+rate of graded rows departs from that of their language, within one language
+or over all of them, by at least ``min_z`` standard errors; that gate is low,
+and the penalty of the fit weighs what passes it.  A feature's value is its
+damped frequency, ``SCALE * count / (words + DAMP)``, so that long texts do
+not become severe by containing everything once.
 
 Defined results: a null text is empty; a text without known features has the
 base severity; labels without a grade are not used; of several labels of a
-document the highest holds; with no usable labels every severity is 0.
+document the highest holds; with no usable labels every severity is 0; a null language, or documents
+without that column, are one language.
 """
 
 from __future__ import annotations
@@ -115,15 +120,15 @@ def fit_links(rows: list[list[tuple[int, float]]], y: np.ndarray, weight: np.nda
     return z[:n_features], z[n_features] + np.concatenate(([0.0], np.cumsum(np.exp(z[n_features + 1 :]))))
 
 
-_SAMPLED = "grade int, bucket long, features array<string>, amounts array<double>"
+_SAMPLED = "grade int, lang string, share double, bucket long, features array<string>, amounts array<double>"
 
 
 def _sampled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
     for batch in batches:
-        out: list[list] = [[], [], [], []]
-        for grade, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        out: list[list] = [[], [], []]
+        for text in batch.column(3).to_pylist():
             found = words(text)
             shingles = {" ".join(found[k : k + 5]) for k in range(max(1, len(found) - 4))}
             counts: Counter[str] = Counter()
@@ -131,38 +136,74 @@ def _sampled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for feature in features(word):
                     counts[feature] += n
             amounts = [SCALE * n / (len(found) + DAMP) for n in counts.values()]
-            for column, x in zip(out, (grade, min(map(xxhash.xxh64_intdigest, shingles)) >> 1, list(counts), amounts), strict=True):
+            for column, x in zip(out, (min(map(xxhash.xxh64_intdigest, shingles)) >> 1, list(counts), amounts), strict=True):
                 column.append(x)
-        kinds = (pa.int32(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.float64()))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], ["grade", "bucket", "features", "amounts"])
+        kinds = (pa.int64(), pa.list_(pa.string()), pa.list_(pa.float64()))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(c, t) for c, t in zip(out, kinds, strict=True))], ["grade", "lang", "share", "bucket", "features", "amounts"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_features: int = 4096, min_rows: float = 5, min_z: float = 7, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade") -> OrdinalModel:
+def level(sizes: Iterable[int], max_rows: int) -> float:
+    """The number of rows of each stratum, where it has so many, that makes ``max_rows`` rows in all."""
+    left = float(max_rows)
+    ordered = sorted(sizes)
+    for k, size in enumerate(ordered):
+        if size * (len(ordered) - k) > left:
+            return left / (len(ordered) - k)
+        left -= size
+    return math.inf
+
+
+def sample(docs: DataFrame, labels: DataFrame, max_rows: int, id_col: str = "doc_id", grade_col: str = "grade", lang_col: str = "lang") -> DataFrame:
+    """``id, grade, lang, share`` of at most ``max_rows`` labelled documents; ``share`` is the part of its language and grade that is taken."""
+    graded = labels.select(F.col(id_col).cast("long").alias("id"), F.col(grade_col).cast("int").alias("grade")).where("id IS NOT NULL AND grade IS NOT NULL")
+    lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("")) if lang_col in docs.columns else F.lit("")
+    langs = docs.select(F.col(id_col).cast("long").alias("id"), lang.alias("lang")).groupBy("id").agg(F.min("lang").alias("lang"))
+    found = graded.groupBy("id").agg(F.max("grade").alias("grade")).join(langs, "id")
+    strata = found.groupBy("grade", "lang").count().collect()
+    most = level((r["count"] for r in strata), max_rows)
+    shares = found.sparkSession.createDataFrame([(r.grade, r.lang, min(1.0, most / r["count"])) for r in strata], "grade int, lang string, share double")
+    found = found.join(F.broadcast(shares), ["grade", "lang"]).select("id", "grade", "lang", "share")
+    place = F.xxhash64("id") / F.lit(2.0**64) + 0.5
+    return found.orderBy(F.when(F.col("share") < 1, place / F.col("share")).otherwise(-1.0), "id").limit(max_rows)
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_features: int = 32_768, min_rows: float = 3, min_z: float = 3, penalty: float = 0.2, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade", lang_col: str = "lang") -> OrdinalModel:
     """Fit on the labelled rows of ``labels`` (id, grade); at most ``max_rows`` rows and ``max_features`` features reach the driver."""
     from vellumine.llm._shared import cut
 
-    graded = labels.select(F.col(id_col).cast("long").alias("id"), F.col(grade_col).cast("int").alias("grade")).where("id IS NOT NULL AND grade IS NOT NULL")
-    chosen = graded.groupBy("id").agg(F.max("grade").alias("grade")).orderBy(F.xxhash64("id"), "id").limit(max_rows)
+    spark = docs.sparkSession
+    chosen = sample(docs, labels, max_rows, id_col, grade_col, lang_col)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = texts.join(F.broadcast(chosen), "id").select("grade", "text").mapInArrow(_sampled, _SAMPLED)  # max_rows bounds what is broadcast
+    rows = texts.join(F.broadcast(chosen), "id").select("grade", "lang", "share", "text").mapInArrow(_sampled, _SAMPLED)  # max_rows bounds what is broadcast
     rows = cut(rows, "toxicity-sample")
     sizes = rows.groupBy("bucket").agg((1 / F.count("*")).alias("weight"))
     rows = rows.join(sizes, "bucket")
-    total = rows.agg(F.sum("weight").alias("n"), F.sum(F.when(F.col("grade") > 0, F.col("weight"))).alias("k"), F.max("grade").alias("most")).first()
-    if not total.n or not total.k:
+    hit = F.when(F.col("grade") > 0, F.col("weight")).otherwise(0.0)
+    totals = rows.groupBy("lang").agg(F.sum("weight").alias("n"), F.sum(hit).alias("k"), F.max("grade").alias("most")).collect()
+    if not sum(r.k for r in totals):
         return OrdinalModel({}, [])
-    rate = min(max(total.k / total.n, 1e-4), 1 - 1e-4)
-    stats = rows.select(F.explode("features").alias("feature"), "weight", F.when(F.col("grade") > 0, F.col("weight")).otherwise(0.0).alias("hit")).groupBy("feature").agg(F.sum("weight").alias("n"), F.sum("hit").alias("k"))
-    z = F.abs(F.col("k") - F.col("n") * rate) / F.sqrt(F.col("n") * rate * (1 - rate))
-    best = stats.withColumn("z", z).where((F.col("n") >= min_rows - 1e-9) & (F.col("z") >= min_z)).orderBy(F.desc("z"), "feature").limit(max_features).collect()
+    rates = spark.createDataFrame([(r.lang, min(max(r.k / r.n, 1e-4), 1 - 1e-4)) for r in totals], "lang string, rate double")
+    stats = rows.select("lang", F.explode("features").alias("feature"), "weight", hit.alias("hit")).groupBy("feature", "lang").agg(F.sum("weight").alias("n"), F.sum("hit").alias("k"))
+    stats = stats.join(F.broadcast(rates), "lang").withColumn("excess", F.col("k") - F.col("n") * F.col("rate")).withColumn("spread", F.col("n") * F.col("rate") * (1 - F.col("rate")))
+    enough = F.col("n") >= min_rows - 1e-9
+    stats = stats.groupBy("feature").agg(
+        F.max(F.when(enough, F.abs("excess") / F.sqrt("spread"))).alias("own"),
+        F.when(F.sum("n") >= min_rows - 1e-9, F.abs(F.sum("excess")) / F.sqrt(F.sum("spread"))).alias("over_all"),
+    )
+    best = stats.select("feature", F.greatest("own", "over_all").alias("z")).where(F.col("z") >= min_z).orderBy(F.desc("z"), "feature").limit(max_features).collect()
     vocabulary = {r.feature: i for i, r in enumerate(best)}
-    known = F.array(*map(F.lit, vocabulary)) if vocabulary else F.array().cast("array<string>")
-    pairs = F.filter(F.arrays_zip("features", "amounts"), lambda x: F.array_contains(known, x["features"]))
-    data = rows.select("grade", "weight", pairs.alias("pairs")).toArrow().to_pydict()
-    order = sorted(range(len(data["grade"])), key=lambda k: (data["grade"][k], data["weight"][k], [(p["features"], p["amounts"]) for p in data["pairs"][k]]))
-    matrix = [[(vocabulary[p["features"]], p["amounts"]) for p in data["pairs"][k]] for k in order]
+
+    def known(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = [[(vocabulary[f], v) for f, v in zip(*x, strict=True) if f in vocabulary] for x in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            columns = (pa.array([[c for c, _ in p] for p in pairs], pa.list_(pa.int32())), pa.array([[v for _, v in p] for p in pairs], pa.list_(pa.float64())))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], ["grade", "weight", "columns", "amounts"])
+
+    data = rows.select("grade", F.col("weight") / F.col("share"), "features", "amounts").mapInArrow(known, "grade int, weight double, columns array<int>, amounts array<double>").toArrow().to_pydict()
+    order = sorted(range(len(data["grade"])), key=lambda k: (data["grade"][k], data["weight"][k], data["columns"][k], data["amounts"][k]))
+    matrix = [list(zip(data["columns"][k], data["amounts"][k], strict=True)) for k in order]
     y, weight = (np.array([data[c][k] for k in order]) for c in ("grade", "weight"))
-    w, t = fit_links(matrix, y, weight, len(vocabulary), int(total.most) + 1)
+    w, t = fit_links(matrix, y, weight, len(vocabulary), max(r.most for r in totals) + 1, penalty)
     return OrdinalModel({x: float(w[i]) for x, i in vocabulary.items()}, t.tolist())
 
 
