@@ -69,6 +69,28 @@ def test_sentencepiece_matches_library(spark):
     assert sentencepiece_fst.encode_documents(docs.limit(0), path).count() == 0
 
 
+def test_sentencepiece_query_decodes_every_document(spark, sf):
+    import sentencepiece
+
+    from vellumine.llm import queries
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    found = {r.doc_id: r for r in queries.op1_sentencepiece(spark, sf).collect()}
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    assert found.keys() == docs.keys()
+    for k, text in docs.items():
+        ids = library.encode(text)
+        plain = library.decode(ids)
+        assert found[k].ids == ids and (found[k].decoded_chars, found[k].decoded_sha256) == (len(plain), sha(plain))
+    odd = {r.doc_id: r for r in sentencepiece_fst.round_trip(table(spark, [*ODD, None]), path).collect()}
+    for k, text in enumerate([*ODD, None]):
+        plain = library.decode(library.encode(text or ""))
+        assert (odd[k].decoded_chars, odd[k].decoded_sha256) == (len(plain), sha(plain))
+    assert sentencepiece_fst.round_trip(table(spark, ODD).limit(0), path).count() == 0
+
+
 def test_unigram_paths_are_shortest():
     def field(number, data):
         return bytes([number << 3 | 2, len(data)]) + data

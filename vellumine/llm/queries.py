@@ -20,8 +20,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids of every document."""
-    return sentencepiece_fst.encode_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    """Ids of every document, and length and digest of the text that they decode to."""
+    return sentencepiece_fst.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

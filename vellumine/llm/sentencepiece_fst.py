@@ -24,6 +24,7 @@ the text itself decodes to a blank, as in the library.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import struct
 from array import array
@@ -90,6 +91,7 @@ class PieceTransducer:
         self.bytes = {int(p[3:5], 16): i for i, (p, _, k) in enumerate(pieces) if k == BYTE}
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.skipped = {i for i, (*_, k) in enumerate(pieces) if k not in (NORMAL, BYTE, UNKNOWN)}
+        self.printed = ["" if i in self.skipped else p for i, p in enumerate(self.pieces)]
         self.ids = {p: i for i, (p, _, k) in enumerate(pieces) if k == NORMAL}
         self.scores = {p: s for p, s, k in pieces if k == NORMAL}
         if any(MARK in p.lstrip(MARK) for p in self.ids):
@@ -275,7 +277,7 @@ class PieceTransducer:
         """The inverse transducer: pieces to text, runs of byte pieces to UTF-8, marks to blanks."""
         ids = list(ids)
         if self.byte_of.keys().isdisjoint(ids):
-            text = "".join([self.pieces[i] for i in ids if i not in self.skipped])
+            text = "".join(map(self.printed.__getitem__, ids))
         else:
             out = bytearray()
             for i in ids:
@@ -300,11 +302,20 @@ def held(path: str) -> PieceTransducer:
 
 
 ENCODED = "doc_id long, n_tokens long, ids array<int>"
+DECODED = ", decoded_chars long, decoded_sha256 string"
 
 
 def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids`` of every row."""
+    return _coded(docs, model_path, id_col, text_col, False)
 
+
+def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_tokens, ids`` of every row, and length and SHA-256 of the text that its ids decode to."""
+    return _coded(docs, model_path, id_col, text_col, True)
+
+
+def _coded(docs: DataFrame, model_path: str, id_col: str, text_col: str, decoded: bool) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = held(model_path)
         for batch in batches:
@@ -314,9 +325,18 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
                 sizes = [len(x) // 4 for x in coded]
                 offsets = pa.array([0, *_running(sizes)], pa.int32())
                 ids = pa.ListArray.from_arrays(offsets, pa.Array.from_buffers(pa.int32(), sum(sizes), [None, pa.py_buffer(b"".join(coded))]))
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(sizes, pa.int64()), ids], ["doc_id", "n_tokens", "ids"])
-
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(run, ENCODED)
+                columns, names = [some.column(0), pa.array(sizes, pa.int64()), ids], ["doc_id", "n_tokens", "ids"]
+                if decoded:
+                    chars, digests = [], []
+                    for x in coded:
+                        text = transducer.decode(array("I", x))
+                        chars.append(len(text))
+                        digests.append(hashlib.sha256(text.encode()).hexdigest())
+                    columns += [pa.array(chars, pa.int64()), pa.array(digests, pa.string())]
+                    names += ["decoded_chars", "decoded_sha256"]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(run, ENCODED + DECODED if decoded else ENCODED)
 
 
 def decode_documents(encoded: DataFrame, model_path: str) -> DataFrame:
