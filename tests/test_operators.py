@@ -119,3 +119,39 @@ def test_statistics_and_erasure(spark):
     clean, blocks = imaging.erase_blocks(image, [[10, 10, 40, 20]])
     assert (clean == 200).all() and len(blocks) == 1
     assert imaging.ink_mask(image[5:30, 5:50], np.array([200, 200, 200], np.uint8), 10).sum() == 300
+
+
+def test_dark_ink_of_low_contrast_is_found():
+    patch = np.full((30, 60, 3), 200, np.uint8)
+    patch[[0, -1]], patch[:, [0, -1]] = (0, 0, 255), (0, 0, 255)  # a frame that raises the threshold of colour
+    patch[10:20, 10:30] = 170
+    patch[10:20, 40:50] = 180
+    found = imaging.ink_mask(patch, np.array([200, 200, 200], np.uint8), 10)
+    assert found[10:20, 10:30].all() and found.sum() == 200
+
+
+def test_retries_by_message_and_thinking():
+    from vellumine.plans import providers
+
+    def failing(times, message):
+        calls = []
+
+        def send(request):
+            calls.append(request)
+            if len(calls) <= times:
+                raise ValueError(message)
+            return providers.Reply("ok")
+
+        return send, calls
+
+    waits = []
+    send, calls = failing(2, "Fetch failed: 503")
+    assert providers.retried_by_message(send, pause=waits.append)("x").content == "ok" and waits == [1.0, 2.0]
+    for times, message, tried in ((3, "timed out", 3), (1, "wrong key", 1)):
+        send, calls = failing(times, message)
+        with pytest.raises(ValueError):
+            providers.retried_by_message(send, pause=waits.append)("x")
+        assert len(calls) == tried
+    assert providers.with_thinking({"a": 1}, "deepseek", False) == {"a": 1, "thinking": {"type": "disabled"}}
+    assert providers.with_thinking({"a": 1}, "other", True) == {"a": 1, "enable_thinking": True}
+    assert providers.with_thinking({"a": 1}, "other", None) == {"a": 1}

@@ -94,13 +94,19 @@ def components(mask: np.ndarray, diagonal: bool = True) -> list[tuple[np.ndarray
     return [(np.concatenate([np.full(b - a, y) for y, a, b in own]), np.concatenate([np.arange(a, b) for _, a, b in own])) for own in members.values()]
 
 
-def ink_mask(patch: np.ndarray, background: np.ndarray, least: float) -> np.ndarray:
-    """Pixels of a patch whose colour differs from the background, without specks, rules and what runs off the edge."""
+def grey(pixels: np.ndarray) -> np.ndarray:
+    """Grey value of blue-green-red pixels, in whole steps."""
+    return np.floor(pixels.astype(float) @ np.array([0.114, 0.587, 0.299]) + 0.5)
+
+
+def ink_mask(patch: np.ndarray, background: np.ndarray, least: float, dark_delta: float = 26.0) -> np.ndarray:
+    """Pixels of a patch whose colour differs from the background, or that are darker by ``dark_delta``, without specks, rules and what runs off the edge."""
     away = np.linalg.norm(lab(patch) - lab(background[None, :])[0], axis=-1)
     frame = np.concatenate((away[0], away[-1], away[:, 0], away[:, -1]))
     h, w = away.shape
     out = np.zeros((h, w), bool)
-    for y, x in components(away > robust_threshold(frame, least)):
+    dark = grey(patch) <= grey(background) - dark_delta
+    for y, x in components((away > robust_threshold(frame, least)) | dark):
         tall, wide = np.ptp(y) + 1, np.ptp(x) + 1
         rule = wide >= 0.8 * w and tall <= max(3, 0.25 * h)
         off = y.min() == 0 or x.min() == 0 or y.max() == h - 1 or x.max() == w - 1

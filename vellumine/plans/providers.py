@@ -21,6 +21,8 @@ RECORD = "provider string, model string, mode string, status int, elapsed_second
 
 # Statuses after which a request is sent again.
 RETRIED = {408, 429, 500, 502, 503, 504}
+# Parts of the messages of a bridge's errors that pass.
+TRANSIENT = ("timeout", "timed out", "fetch failed", "temporarily", "rate limit", "429", "502", "503", "504")
 
 
 class CallError(Exception):
@@ -57,6 +59,31 @@ def retried(send: Provider, attempts: int = 3, pause: Callable[[float], None] =
     return call
 
 
+def retried_by_message(send: Provider, retries: int = 2, pause: Callable[[float], None] = time.sleep) -> Provider:
+    """``send`` again, after 1, 2, 4 ... seconds, on errors whose message holds one of ``TRANSIENT``."""
+
+    def call(request: str) -> Reply:
+        for k in range(retries + 1):
+            try:
+                return send(request)
+            except Exception as e:
+                if k >= retries or not any(x in str(e).lower() for x in TRANSIENT):
+                    raise
+                pause(2.0**k)
+        raise AssertionError("retries must not be negative")
+
+    return call
+
+
+def with_thinking(payload: dict, provider: str, enable: bool | None) -> dict:
+    """``payload`` with the provider's field for thinking; unchanged where ``enable`` is None."""
+    if enable is None:
+        return payload
+    if provider == "deepseek":
+        return payload | {"thinking": {"type": "enabled" if enable else "disabled"}}
+    return payload | {"enable_thinking": enable}
+
+
 def stub(request: str) -> Reply:
     """Deterministic answer for tests: the request in upper case, its digest as usage."""
     return Reply(request.upper(), hashlib.sha256(request.encode()).hexdigest()[:8])
