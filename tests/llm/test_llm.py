@@ -436,3 +436,67 @@ def test_pipeline(spark, sf):
     assert {r.doc_id for r in tables[-1].collect()} == kept
     components = {r.doc_id: r.component_id for r in jaccard.link_documents(tables[2]).collect()}
     assert kept == {k for k, c in components.items() if k == c}
+
+
+def test_pipeline_matches_brute_force(spark, tmp_path):
+    """Planted cases: toxic, letterless and wrongly declared texts, near copies, sources of three sizes."""
+    from collections import Counter
+
+    import corpus_pipeline
+    import sentencepiece
+
+    words = {"en": "the quick brown fox jumps over that lazy dog and then", "fr": "le renard brun saute par dessus les chiens paresseux et puis", "de": "der schnelle braune fuchs springt über den faulen hund und dann"}
+    rng = random.Random(11)
+    docs, toxic, wrong, copies = [], set(), set(), {}
+    for k in range(300):
+        lang, source = ("en", "fr", "de")[k % 3], ("big", "big", "big", "mid", "small")[rng.randrange(5)]
+        said, own = lang, rng.choices(words[lang].split(), k=rng.randint(40, 60))
+        if k % 6 == 0 or k % 15 == 1:
+            toxic.add(k)
+            own += rng.choices(["vile", "rotten", "nasty"], k=5)
+        elif k in (20, 143, 272):  # French said to be English
+            wrong.add(k)
+            said, own = "en", rng.choices(words["fr"].split(), k=80)
+        elif k > 2 and k % 25 == 2:  # a copy of a clean text before, but for its last word
+            before = next(j for j in range(k - 1, 0, -1) if j not in toxic | wrong | copies.keys())
+            own, said = [*docs[before][1].split()[:-1], "end"], docs[before][2]
+            copies[k] = before
+        docs.append((k, " ".join(own), said, source))
+    docs += [(300, None, "en", "big"), (301, "", "fr", "mid"), (302, "123 ... 45", "de", "small")]
+    wrong |= {300, 301, 302}
+    spark.createDataFrame([(*d, len(d[1] or "")) for d in docs], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(k, int(k in toxic), 1) for k in range(300) if k % 7]  # a seventh has no label
+    spark.createDataFrame(labels, "doc_id long, toxic int, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+
+    at, tables = spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        at = stage(spark, at, str(tmp_path))
+        tables[name] = at.collect()
+    ids = lambda name: sorted(r.doc_id for r in tables[name])
+    civil = [d for d in docs if d[0] not in toxic]
+    assert ids("toxicity") == [d[0] for d in civil]
+    identified = [d for d in civil if d[0] not in wrong]
+    assert ids("language") == [d[0] for d in identified]
+    component = brute_components([d[1] for d in identified])
+    distinct = [d for k, d in enumerate(identified) if component[k][1] == k]
+    assert copies and not copies.keys() & {d[0] for d in distinct} and ids("near_copies") == [d[0] for d in distinct]
+
+    # A source of T tokens is read (most / T) ** b times, the smallest one 1.25 times.
+    size, total = {d[0]: len(d[1].split()) for d in distinct}, Counter()
+    for k, _, _, source in distinct:
+        total[source] += size[k]
+    most, least = max(total.values()), min(total.values())
+    b = np.log(1.25) / np.log(most / least)
+    read = Counter(ids("mixing"))
+    assert read.keys() == size.keys() and set(read.values()) <= {1, 2}
+    for source, t in total.items():
+        extra = sum(size[k] for k, _, _, s in distinct if s == source and read[k] == 2)
+        rest = ((most / t) ** b - 1) * t
+        assert rest - max(size.values()) - 1 <= extra <= rest + 1e-6
+    assert {(r.doc_id, r.text, r.lang, r.source) for r in tables["mixing"]} == set(distinct)
+
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    want = sorted((k, library.encode(t)) for k, t, *_ in distinct for _ in range(read[k]))
+    assert sorted((r.doc_id, r.ids) for r in tables["sentencepiece"]) == want
+    assert all(r.n_tokens == len(r.ids) for r in tables["sentencepiece"])
+    assert sorted((r.doc_id, r.ids) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == want
