@@ -415,6 +415,27 @@ def test_mixing(spark):
     assert sorted(map(key, again)) == sorted(map(key, out))
 
 
+def test_mixing_of_many_sources(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = [(k, " ".join(["w"] * rng.randint(0, 30)), f"host{int(rng.expovariate(0.02))}" if k % 50 else None) for k in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    key = lambda r: (r.doc_id, r.source, r._epoch, r._start, r._position)
+    few = sorted(map(key, mixing.mix(docs, max_repeats=1.5, block_tokens=50).collect()), key=repr)
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 3)
+    many = sorted(map(key, mixing.mix(docs, max_repeats=1.5, block_tokens=50).collect()), key=repr)
+    assert few == many and {r[0] for r in many} >= {k for k, t, _ in rows if t}
+    size = {}
+    for _, t, s in rows:
+        size[s] = size.get(s, 0) + len(t.split())
+    assert len(size) > 100
+    most, least = max(size.values()), min(x for x in size.values() if x)
+    b = np.log(1.5) / np.log(most / least)
+    got, text = dict.fromkeys(size, 0), {k: len(t.split()) for k, t, _ in rows}
+    for k, s, *_ in many:
+        got[s] += text[k]
+    assert all((most / t) ** b * t - 31 <= got[s] <= (most / t) ** b * t + 1e-6 for s, t in size.items() if t)
+
+
 def test_target_entropy():
     tokens = [1000, 100, 10, 0]
     for target in (0.2, 0.6, 1.0):

@@ -10,7 +10,10 @@ blocks in an order of its own, and the last pass ends where the length is
 reached.  ``position`` (0 to 1) interleaves the streams: sorted by it, every
 stretch of the output has the target weights.
 
-Everything but the source table is DataFrame operations; a source's cells are
+The driver sees only how many sources have each number of tokens, a table that
+cannot have more rows than the square root of twice all tokens; whatever
+belongs to a source is worked out in a distributed table.  The rest is
+DataFrame operations; a source's cells are
 summed before any window sees them, so a source that holds most rows costs no
 task more than its ``CELLS`` cells or one block.
 
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 
 #: Hash cells of a source; blocks are ranges of cells.
 CELLS = 16_384
-#: The mixture's source table is worked out on the driver; more sources than this are refused.
+#: Up to so many sources, their table is sent to every task; larger ones are joined cell by cell.
 MAX_SOURCES = 100_000
 
 
@@ -37,16 +40,16 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"\S+")), F.lit(0)).cast("long")
 
 
-def weights(tokens: list[int], exponent: float) -> list[float]:
-    """Normalised powers of the shares; a source without tokens weighs nothing."""
+def weights(tokens: list[int], exponent: float, counts: list[int] | None = None) -> list[float]:
+    """Normalised powers of the shares; a source without tokens weighs nothing.  ``counts`` says how many sources have each number of tokens."""
     most = max(tokens, default=0)
     powers = [(t / most) ** exponent if t else 0.0 for t in tokens]
-    total = sum(powers)
+    total = sum(x * n for x, n in zip(powers, counts or [1] * len(powers), strict=True))
     return [x / total for x in powers] if total else powers
 
 
-def entropy(w: list[float]) -> float:
-    return -sum(x * math.log(x) for x in w if x > 0)
+def entropy(w: list[float], counts: list[int] | None = None) -> float:
+    return -sum(n * x * math.log(x) for x, n in zip(w, counts or [1] * len(w), strict=True) if x > 0)
 
 
 def repeats(tokens: list[int], w: list[float], budget: float | None) -> list[float]:
@@ -56,7 +59,7 @@ def repeats(tokens: list[int], w: list[float], budget: float | None) -> list[flo
     return [x * scale for x in passes]
 
 
-def exponent_for(tokens: list[int], budget: float | None, target_entropy: float | None, max_repeats: float | None) -> float:
+def exponent_for(tokens: list[int], budget: float | None, target_entropy: float | None, max_repeats: float | None, counts: list[int] | None = None) -> float:
     """Bisect the exponent.
 
     Entropy falls as the exponent grows; so does the highest number of passes,
@@ -67,10 +70,10 @@ def exponent_for(tokens: list[int], budget: float | None, target_entropy: float
         raise ValueError("give either a target entropy or a limit of repeats")
     if target_entropy is not None:
         low, high = 0.0, 64.0
-        too_flat = lambda a: entropy(weights(tokens, a)) > target_entropy
+        too_flat = lambda a: entropy(weights(tokens, a, counts), counts) > target_entropy
     else:
         low, high = 0.0, 1.0
-        too_flat = lambda a: max(repeats(tokens, weights(tokens, a), budget), default=0.0) > max_repeats
+        too_flat = lambda a: max(repeats(tokens, weights(tokens, a, counts), budget), default=0.0) > max_repeats
     if not too_flat(low):
         return low
     for _ in range(200):
@@ -95,19 +98,22 @@ def mix(docs: DataFrame, budget: float | None = None, target_entropy: float | No
     from vellumine.llm._shared import cut
 
     cells = cut(docs.groupBy("_source", "_cell").agg(F.sum("_n_tokens").alias("tokens")), "mixing-cells")
-    table = cells.groupBy("_source").agg(F.sum("tokens").alias("tokens")).orderBy("_source").limit(MAX_SOURCES + 1).collect()
-    if len(table) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    tokens = [r.tokens for r in table]
-    w = weights(tokens, exponent_for(tokens, budget, target_entropy, max_repeats))
+    table = cells.groupBy("_source").agg(F.sum("tokens").alias("_tokens"))
+    table = cut(table, "mixing-sources")
+    sizes = table.groupBy("_tokens").count().orderBy("_tokens").collect()
+    tokens, counts = [r["_tokens"] for r in sizes], [r["count"] for r in sizes]
+    w = weights(tokens, exponent_for(tokens, budget, target_entropy, max_repeats, counts), counts)
     passes = repeats(tokens, w, budget)
     # Passes within rounding of a whole number are that number.
     passes = [float(round(p)) if abs(p - round(p)) < 1e-9 else p for p in passes]
-    plan = [(r._source, t, math.floor(p), int((p - math.floor(p)) * t), p * t, min(CELLS, max(1, -(-t // block_tokens)))) for r, t, p in zip(table, tokens, passes, strict=True) if p > 0]
-    sources = spark.createDataFrame(plan, "_source string, _tokens long, _whole int, _rest long, _length double, _blocks int")
+    plan = [(t, math.floor(p), int((p - math.floor(p)) * t), p * t, min(CELLS, max(1, -(-t // block_tokens)))) for t, p in zip(tokens, passes, strict=True) if p > 0]
+    plan = spark.createDataFrame(plan, "_tokens long, _whole int, _rest long, _length double, _blocks int")
+    sources = cut(table.join(plan, "_tokens").select("_source", "_tokens", "_whole", "_rest", "_length", "_blocks"), "mixing-plan")
+    few = sum(counts) <= MAX_SOURCES
+    sent = F.broadcast if few else lambda df: df
 
     block = F.floor(F.col("_cell") * F.col("_blocks") / CELLS).cast("int").alias("_block")
-    sized = cells.join(sources, cells["_source"].eqNullSafe(sources["_source"])).select(sources["*"], block, "tokens")
+    sized = cells.join(sent(sources), cells["_source"].eqNullSafe(sources["_source"])).select(sources["*"], "_cell", block, "tokens")
     blocks = sized.groupBy(*sources.columns, "_block").agg(F.sum("tokens").alias("tokens"))
     epochs = F.explode(F.sequence(F.lit(0), F.when(F.col("_rest") > 0, F.col("_whole")).otherwise(F.col("_whole") - 1)))
     copies = blocks.where((F.col("_whole") > 0) | (F.col("_rest") > 0)).withColumn("_epoch", epochs)
@@ -117,8 +123,12 @@ def mix(docs: DataFrame, budget: float | None = None, target_entropy: float | No
     copies = copies.withColumn("_limit", limit).where(F.col("_before") < F.col("_limit"))
     copies = copies.select(F.col("_source").alias("_s"), F.col("_block").alias("_b"), "_epoch", "_tokens", "_before", "_limit", "_length")
 
-    per_source = sources.select(F.col("_source").alias("_t"), "_blocks")
-    placed = docs.join(F.broadcast(per_source), docs["_source"].eqNullSafe(F.col("_t"))).withColumn("_block", F.floor(F.col("_cell") * F.col("_blocks") / CELLS).cast("int"))
+    if few:
+        per_source = sources.select(F.col("_source").alias("_t"), "_blocks")
+        placed = docs.join(F.broadcast(per_source), docs["_source"].eqNullSafe(F.col("_t"))).withColumn("_block", F.floor(F.col("_cell") * F.col("_blocks") / CELLS).cast("int"))
+    else:  # by source and cell, so that a large source is dealt to many tasks
+        per_cell = sized.select(F.col("_source").alias("_t"), F.col("_cell").alias("_c"), "_block", "_blocks")
+        placed = docs.join(per_cell, docs["_source"].eqNullSafe(F.col("_t")) & (docs["_cell"] == F.col("_c"))).drop("_c")
     read = placed.join(copies, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b")))
     inside = Window.partitionBy("_source", "_block", "_epoch").orderBy(F.xxhash64(F.lit(seed), F.col("_epoch"), F.col(id_col)), F.col(id_col))
     read = read.withColumn("_in_pass", F.col("_before") + F.sum("_n_tokens").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n_tokens"))
