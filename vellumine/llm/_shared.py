@@ -1,13 +1,22 @@
-"""Places that the driver and every executor can reach, and lineage cuts."""
+"""Places that the driver and every executor can reach, lineage cuts, and thrift in the workers."""
 
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of text that a worker takes together.
+TOGETHER = 2_000_000
+
 _made: list[str] = []
 
 
@@ -58,8 +67,66 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(uri)
 
 
+#: Schemes of Hadoop's connectors, and pyarrow's own for the same stores.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "viewfs": "hdfs"}
+
+
 def open_fs(uri: str):
-    """pyarrow file system and path of a URI (file, hdfs, s3, gs)."""
+    """pyarrow file system and path of a URI of Spark's."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri)
+    scheme, mark, rest = uri.partition("://")
+    return fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}{mark}{rest}")
+
+
+def free_name(taken: Iterable[str], wanted: str) -> str:
+    """``wanted``, with underscores behind it until no column of ``taken`` has the name (case does not tell names apart)."""
+    lower = {x.lower() for x in taken}
+    while wanted.lower() in lower:
+        wanted += "_"
+    return wanted
+
+
+def by_bytes(batch: pa.RecordBatch, column: int, most: int = TOGETHER) -> Iterator[pa.RecordBatch]:
+    """The batch in slices that hold at most ``most`` bytes of a text column, or one row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def together(texts: list[str], most: int = TOGETHER) -> Iterator[list[str]]:
+    """The texts in lists that hold ``most`` characters or a little more."""
+    some, size = [], 0
+    for x in texts:
+        some.append(x)
+        size += len(x)
+        if size >= most:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
+def release() -> None:
+    """Give free memory back to the system: a worker lives on after a task, and others stand beside it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def frugal(function: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:
+    """The function of batches, after whose last one the worker gives free memory back."""
+
+    def run(batches: Iterable) -> Iterator:
+        try:
+            yield from function(batches)
+        finally:
+            release()
+
+    return run
