@@ -9,15 +9,16 @@ parts that it has met, and the library encodes the others in large batches.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
-#: Distinct chunks, and distinct words, in each of two generations that a worker remembers; this bounds its memory.
-REMEMBERED = 300_000
-#: Longer parts are encoded but not remembered.
-LONGEST = 64
+from vellumine.llm._shared import together
+
+#: Distinct parts in each of two generations that a worker remembers; this bounds its memory.
+REMEMBERED = 400_000
 #: Characters of text that are taken together.
 TOGETHER = 4_000_000
 
@@ -29,24 +30,31 @@ _runs = re.compile(r"\s*\S+|\s+")
 _held: dict[tuple[str, bool, bool], ChunkTokenizer] = {}
 
 
-class Memory(dict):
+class Memory:
     """Two generations of a bounded dictionary; what is asked for again outlives what is not."""
 
-    def __init__(self):
+    def __init__(self, most: int | None = None):
+        self.most = REMEMBERED if most is None else most
+        self.now: dict = {}
         self.older: dict = {}
 
-    def lacks(self, keys: Iterable[str]) -> list[str]:
-        """The distinct keys that have no value, after those of the older generation came back."""
-        new, older = [k for k in set(keys) if k not in self], self.older
-        if older and new:
-            self.update((k, older[k]) for k in new if k in older)
-            new = [k for k in new if k not in older]
+    def lacks(self, keys: Iterable[str]) -> set[str]:
+        """The keys that have no value, after those of the older generation came back."""
+        keys = keys if isinstance(keys, set) else set(keys)
+        new = keys.difference(self.now)
+        if self.older and new:
+            unknown = new.difference(self.older)
+            older = self.older
+            self.now.update([(k, older[k]) for k in new.difference(unknown)])
+            new = unknown
         return new
 
     def turn(self) -> None:
-        if len(self) > REMEMBERED:
-            self.older = {k: v for k, v in self.items() if len(k) <= LONGEST}
-            self.clear()
+        if len(self.now) > self.most:
+            self.older, self.now = self.now, {}
+
+    def forget(self) -> None:
+        self.now, self.older = {}, {}
 
 
 class ChunkTokenizer:
@@ -66,62 +74,70 @@ class ChunkTokenizer:
         self.counts = counts
         self.total = sum if counts else b"".join
         self.none = 0 if counts else b""
-        self.chunks, self.words = Memory(), Memory()
+        self.known = Memory()  # of words, of marks around them, and of chunks that hold both
 
     def _encode(self, parts: list[str]) -> None:
         """Parts that are not single words, through the whole tokenizer."""
         value = (lambda e: len(e.ids)) if self.counts else (lambda e: array("I", e.ids).tobytes())
         for at in range(0, len(parts), 4096):
             some = parts[at : at + 4096]
-            self.words.update(zip(some, map(value, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)), strict=True))
+            self.known.now.update(zip(some, map(value, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)), strict=True))
 
     def _encode_words(self, words: list[str]) -> None:
         """Single words are pre-tokens already: the tokenizer's model takes them in its byte alphabet."""
         model, chars = self.model.tokenize, self.byte_chars
         as_model = (w if w.isascii() and w[0] != " " else w.encode().decode("latin-1").translate(chars) for w in words)
         if self.counts:
-            self.words.update((w, len(model(x))) for w, x in zip(words, as_model, strict=True))
+            self.known.now.update((w, len(model(x))) for w, x in zip(words, as_model, strict=True))
         else:
-            self.words.update((w, array("I", [t.id for t in model(x)]).tobytes()) for w, x in zip(words, as_model, strict=True))
+            self.known.now.update((w, array("I", [t.id for t in model(x)]).tobytes()) for w, x in zip(words, as_model, strict=True))
 
-    def _learn(self, chunks: list[str]) -> None:
-        words, rest = set(), set()
-        parts: list[tuple[str, ...]] = []
+    def _learn(self, chunks: set[str]) -> None:
+        """Values of new chunks: those of the marks before a word, of the word and of the marks after it, put together."""
+        plain, words, rest, parts = [], set(), set(), []
+        match, blank, lower = _word.match, self.blank, self.lower
         for chunk in chunks:
-            head = self.blank if chunk[:1] == " " else ""
-            m = _word.match(chunk, 1 if head else 0)
-            if m is None or "<|" in chunk:
-                part = (chunk,)
+            head = blank if chunk[:1] == " " else ""
+            body = chunk[1:] if head else chunk
+            if body.isalpha() and body.isascii() and (not lower or body.islower()):  # a word alone
+                plain.append(chunk)
+                continue
+            m = match(body)
+            if m is None or "<|" in body:
                 rest.add(chunk)
+                continue
+            before, word, after = m.groups()
+            if lower:
+                word = word.lower()
+            if before:
+                before = head + before
+                rest.add(before)
             else:
-                before, word, after = m.groups()
-                word = word.lower() if self.lower else word
-                if before:
-                    before = head + before
-                    rest.add(before)
-                else:
-                    word = head + word
+                word = head + word
+            if after:
                 rest.add(after)
-                words.add(word)
-                part = (before, word, after)
-            parts.append(part)
-        rest.discard("")
-        self._encode_words(self.words.lacks(words))
-        self._encode(self.words.lacks(rest))
-        known, total = self.words, self.total
+            words.add(word)
+            parts.append((chunk, before, word, after))
+        self._encode_words(plain)
+        self._encode_words(list(self.known.lacks(words)))
+        self._encode(list(self.known.lacks(rest)))
+        known = self.known.now
         known[""] = self.none
-        self.chunks.update((c, total([known[x] for x in p])) for c, p in zip(chunks, parts, strict=True))
+        known.update([(c, known[x] + known[y] + known[z]) for c, x, y, z in parts])
 
     def many(self, texts: list[str]) -> list:
         """Ids, or counts, of each text."""
         out = []
-        for some in _together(texts):
-            chunked = [self.split(x) for x in some]
-            self._learn(self.chunks.lacks(set().union(*chunked)))
-            get, total = self.chunks.__getitem__, self.total
-            out += [total(map(get, x)) for x in chunked]
-            self.chunks.turn()
-            self.words.turn()
+        gc.disable()  # no cycles arise here, and millions of strings would be visited in vain
+        try:
+            for some in together(texts, TOGETHER):
+                chunked = [self.split(x) for x in some]
+                self._learn(self.known.lacks(set().union(*chunked)))
+                get, total = self.known.now.__getitem__, self.total
+                out += [total(map(get, x)) for x in chunked]
+                self.known.turn()
+        finally:
+            gc.enable()
         return out
 
 
@@ -132,18 +148,6 @@ def byte_chars() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
-def _together(texts: list[str]) -> Iterator[list[str]]:
-    some, size = [], 0
-    for x in texts:
-        some.append(x)
-        size += len(x)
-        if size >= TOGETHER:
-            yield some
-            some, size = [], 0
-    if some:
-        yield some
-
-
 def held(path: str, keeps_space: bool, counts: bool = False) -> ChunkTokenizer:
     """The worker's own tokenizer, loaded once."""
     key = (path, keeps_space, counts)
@@ -153,7 +157,12 @@ def held(path: str, keeps_space: bool, counts: bool = False) -> ChunkTokenizer:
 
 
 def plain_chunks(text: str) -> list[str]:
-    """For tokenizers that drop white space: parts between blanks and line ends."""
+    """For tokenizers that lower-case and drop white space: parts between blanks and line ends.
+
+    A-Z are lowered here, so that fewer parts are distinct, but for texts that may hold special tokens.
+    """
+    if "<|" not in text:
+        text = text.encode().lower().decode()
     return text.replace("\n", " ").split(" ")
 
 

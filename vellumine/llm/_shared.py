@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: Bytes of text that a worker takes together.
 TOGETHER = 2_000_000
@@ -67,6 +69,22 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(uri)
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table of the driver's, sent as Arrow: lists of rows would start Python workers of another kind on the executors."""
+    kind = T._parse_datatype_string(schema)
+    if not rows:
+        return spark.createDataFrame([], kind)
+    columns = [pa.array(c, to_arrow_type(f.dataType)) for f, c in zip(kind.fields, zip(*rows, strict=True), strict=True)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, names=kind.fieldNames()), kind)
+
+
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """From now on at most so many rows go to a Python worker at once: texts are long, and a batch stands in the JVM and in the worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > rows:
+        spark.conf.set(name, rows)
+
+
 #: Schemes of Hadoop's connectors, and pyarrow's own for the same stores.
 _SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "viewfs": "hdfs"}
 
