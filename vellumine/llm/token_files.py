@@ -5,11 +5,15 @@ the document ids, then the seek table of the zstandard seekable format: for
 each frame its compressed size, its decompressed size and the low 32 bits of
 the XXH64 of its content.  Frames do not depend on one another, so a reader
 finds a document's frame in the table and decompresses that frame alone.
-Every frame also ends with zstandard's own content checksum.
+That checksum is also the one with which a zstandard frame ends: it is worked
+out once on writing, and decompressing verifies it.
 
 Defined results: a null text is an empty document (only the end id); a null
 document id sorts first; repeated rows and ids are all written, next to each
-other; an empty table gives no shards and no rows.
+other, and may be dealt to several shards; an id that does not fit ``width``
+is an error; an empty table gives no shards and no rows; extra columns are
+ignored, whatever their names.  A very long text is one frame, which is held
+whole; beside it a worker holds a few megabytes of other texts.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellumine.llm import _chunks
-from vellumine.llm._shared import new_dir, open_fs
+from vellumine.llm._shared import by_bytes, frugal, local_table, new_dir, open_fs
 
 #: Fixed values of the zstandard seekable format.
 SKIPPABLE_IDS = 0x184D2A50
@@ -54,16 +58,22 @@ class ShardWriter:
         self.table: list[bytes] = []
         self.n_tokens = self.n_bytes = 0
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        import xxhash
-
-        raw = ids.astype(f"<u{self.width}").tobytes()
-        frame = self.zstd.compress(raw)
-        self.out.write(frame)
-        self.ids.append(_NO_ID if doc_id is None else doc_id)
-        self.table.append(struct.pack("<III", len(frame), len(raw), xxhash.xxh64_intdigest(raw) & 0xFFFFFFFF))
+    def add(self, doc_ids: Iterable[int | None], coded: list[bytes], end_id: int) -> None:
+        """Documents' ids, each as little-endian uint32 bytes; ``end_id`` follows each."""
+        end = struct.pack("<I", end_id)
+        ids = np.frombuffer(b"".join([y for x in coded for y in (x, end)]), "<u4")
+        if self.width < 4 and len(ids) and int(ids.max()) >> 8 * self.width:
+            raise ValueError(f"token id {int(ids.max())} does not fit {self.width} bytes")
+        raw, at = memoryview(ids.astype(f"<u{self.width}").tobytes()), 0
+        for doc_id, x in zip(doc_ids, coded, strict=True):
+            size = (len(x) // 4 + 1) * self.width
+            frame = self.zstd.compress(raw[at : at + size])
+            self.out.write(frame)
+            self.ids.append(_NO_ID if doc_id is None else doc_id)
+            self.table.append(struct.pack("<II", len(frame), size) + frame[-4:])
+            self.n_bytes += len(frame)
+            at += size
         self.n_tokens += len(ids)
-        self.n_bytes += len(frame)
 
     def finish(self) -> None:
         body = _IDS_HEAD.pack(self.width, len(self.ids)) + self.zstd.compress(np.array(self.ids, "<i8").tobytes())
@@ -101,15 +111,34 @@ class ShardReader:
         self.file.seek(offset)
         return self.file.read(length)
 
-    def frame(self, k: int) -> np.ndarray:
-        import xxhash
-
-        stored, plain, checksum = map(int, self.table[k])
-        raw = self.zstd.decompress(self._at(int(self.starts[k]), stored), max_output_size=plain)
-        if len(raw) != plain or xxhash.xxh64_intdigest(raw) & 0xFFFFFFFF != checksum:
+    def _plain(self, k: int, stored: memoryview) -> np.ndarray:
+        """Content of frame ``k``; decompressing verifies the checksum with which the frame ends."""
+        try:
+            if bytes(stored[-4:]) != self.table[k, 2].tobytes():
+                raise ValueError("checksum")
+            raw = self.zstd.decompress(stored, max_output_size=int(self.table[k, 1]))
+        except Exception as e:
+            raise ValueError(f"frame {k} is damaged") from e
+        if len(raw) != self.table[k, 1]:
             raise ValueError(f"frame {k} is damaged")
         return np.frombuffer(raw, f"<u{self.width}")
 
+    def frame(self, k: int) -> np.ndarray:
+        """Ids of one document; no other frame is read."""
+        return self._plain(k, memoryview(self._at(int(self.starts[k]), int(self.table[k, 0]))))
+
+    def frames(self, together: int = 8_000_000) -> Iterator[np.ndarray]:
+        """Ids of all documents, read from the file's beginning to its end."""
+        k = 0
+        while k < len(self):
+            begin = int(self.starts[k])
+            end = max(k + 1, int(np.searchsorted(self.starts, begin + together, "right")) - 1)
+            data = memoryview(self._at(begin, int(self.starts[end]) - begin))
+            for j in range(k, end):
+                at = int(self.starts[j]) - begin
+                yield self._plain(j, data[at : at + int(self.table[j, 0])])
+            k = end
+
     def __len__(self) -> int:
         return len(self.table)
 
@@ -122,20 +151,19 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out_dir: str, end_id
     number of bytes of a stored id (2 suffices below 65,536).
     """
 
+    @frugal
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _chunks.held(tokenizer_path, keeps_space=False)
         where, folder = open_fs(out_dir)
         writer = path = out = None
-        end = np.array([end_id], np.uint32)
         for batch in batches:
-            for doc_id, coded in zip(batch.column(0).to_pylist(), tokenizer.many(batch.column(1).to_pylist()), strict=True):
+            for some in by_bytes(batch, 1, _chunks.TOGETHER):
                 if writer is None:
                     where.create_dir(folder, recursive=True)
                     path = f"{folder}/shard-{uuid.uuid4().hex}.ids"  # a retried task writes another file; the manifest names the one that counts
                     out = where.open_output_stream(path)
                     writer = ShardWriter(out, width)
-                ids = np.frombuffer(coded, np.uint32)
-                writer.add(doc_id, np.concatenate((ids, end)))
+                writer.add(some.column(0).to_pylist(), tokenizer.many(some.column(1).to_pylist()), end_id)
         if writer is not None:
             writer.finish()
             out.close()
@@ -145,16 +173,23 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out_dir: str, end_id
             yield pa.RecordBatch.from_pydict({n: pa.array([v], pa.string() if n == "path" else pa.int64()) for n, v in zip(names, row, strict=True)})
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    texts.repartitionByRange("id").sortWithinPartitions("id", "text").mapInArrow(write, MANIFEST).write.parquet(f"{out_dir}/manifest")
+    # Rows of one id can be dealt to several shards.
+    order = ["id", F.xxhash64("text")]
+    texts.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(write, MANIFEST).write.parquet(f"{out_dir}/manifest")
 
 
 def _shards(spark: SparkSession, out_dir: str) -> list[tuple]:
     """Path, first and last id, and ids before the shard, in ascending order: one row per shard."""
     rows = spark.read.schema(MANIFEST).parquet(f"{out_dir}/manifest").collect()
-    rows.sort(key=lambda r: (r.first_id is not None, r.first_id))
+    rows.sort(key=lambda r: (r.first_id is not None, r.first_id, r.last_id is not None, r.last_id, r.path))
     return [(r.path, r.first_id, r.last_id, b) for r, b in zip(rows, accumulate((r.n_tokens for r in rows), initial=0), strict=False)]
 
 
+def _dealt(spark: SparkSession, shards: list[tuple]) -> DataFrame:
+    """A row for each shard, and a task for each row."""
+    return local_table(spark, shards, _SHARD).repartitionByRange(len(shards), "path")
+
+
 _SHARD = "path string, first_id long, last_id long, base long"
 _DIGESTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -170,15 +205,14 @@ def read_digests(spark: SparkSession, out_dir: str) -> DataFrame:
                 with where.open_input_file(name) as file:
                     shard = ShardReader(file)
                     counts, crcs = np.zeros(len(shard), np.int64), np.zeros(len(shard), np.int64)
-                    for k in range(len(shard)):
-                        ids = shard.frame(k)
-                        counts[k], crcs[k] = len(ids), zlib.crc32(ids.astype("<u4").tobytes())
+                    for k, ids in enumerate(shard.frames()):
+                        counts[k], crcs[k] = len(ids), zlib.crc32(ids.astype("<u4"))
                     starts = base + np.concatenate(([0], np.cumsum(counts)))[:-1]
                     yield pa.RecordBatch.from_arrays([pa.array(shard.ids, mask=shard.ids == _NO_ID), pa.array(starts, pa.int64()), pa.array(counts), pa.array(crcs)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     if not shards:
         return spark.createDataFrame([], _DIGESTS)
-    return spark.createDataFrame(shards, _SHARD).repartition(len(shards), "path").mapInArrow(read, _DIGESTS)
+    return _dealt(spark, shards).mapInArrow(frugal(read), _DIGESTS)
 
 
 def read_documents(spark: SparkSession, out_dir: str, wanted: list[int]) -> DataFrame:
@@ -199,7 +233,7 @@ def read_documents(spark: SparkSession, out_dir: str, wanted: list[int]) -> Data
 
     if not shards:
         return spark.createDataFrame([], schema)
-    return spark.createDataFrame(shards, _SHARD).repartition(len(shards), "path").mapInArrow(read, schema)
+    return _dealt(spark, shards).mapInArrow(frugal(read), schema)
 
 
 def round_trip(docs: DataFrame, tokenizer_path: str, end_id: int = 1, width: int = 2) -> DataFrame:
