@@ -123,7 +123,7 @@ def test_bubble():
     white = np.array([250, 250, 250], np.uint8)
     mask, reason = imaging.closed_bubble(image, (44, 28, 76, 46), white, of_image=0.5)
     assert reason == "closed_uniform_component" and mask.sum() == 40 * 60 - 4 and mask[37, 60]
-    clean, blocks = imaging.erase_blocks(image, [[48, 33, 72, 42]], bubbles=True)
+    clean, _, blocks, _ = imaging.erase_blocks(image, [[48, 33, 72, 42]], distance=12.0, shrink=2)
     assert blocks[0]["reason"] == "bubble_too_large_relative_to_image" and (clean[33:42, 48:72] == 250).all()
     assert imaging.closed_bubble(np.full((50, 50, 3), 250, np.uint8), (10, 10, 20, 20), white)[1] == "component_touches_image_edge"
     plus = np.array([[1, 0], [0, 1]], bool)

@@ -116,18 +116,81 @@ def test_statistics_and_erasure(spark):
     assert stats.robust_thresholds(frame, ["g"], "v", 5.0).first().threshold == pytest.approx(3 + 4 * 1.4826)
     image = np.full((40, 60, 3), 200, np.uint8)
     image[10:20, 10:40] = 0
-    clean, blocks = imaging.erase_blocks(image, [[10, 10, 40, 20]])
-    assert (clean == 200).all() and len(blocks) == 1
-    assert imaging.ink_mask(image[5:30, 5:50], np.array([200, 200, 200], np.uint8), 10).sum() == 300
-
-
-def test_dark_ink_of_low_contrast_is_found():
-    patch = np.full((30, 60, 3), 200, np.uint8)
-    patch[[0, -1]], patch[:, [0, -1]] = (0, 0, 255), (0, 0, 255)  # a frame that raises the threshold of colour
-    patch[10:20, 10:30] = 170
-    patch[10:20, 40:50] = 180
-    found = imaging.ink_mask(patch, np.array([200, 200, 200], np.uint8), 10)
-    assert found[10:20, 10:30].all() and found.sum() == 200
+    clean, painted, blocks, owner = imaging.erase_blocks(image, [[10, 10, 40, 20]], strategy="block")
+    assert (clean == 200).all() and len(blocks) == 1 and owner == [0] and painted.sum() == 34 * 14
+    assert blocks[0]["sampling"] == "union_of_per_line_outer_rings"
+
+
+def test_ink_is_found_by_colour_and_by_darkness_and_repaired():
+    image = np.full((80, 140, 3), 200, np.uint8)
+    image[30:40, 40:60] = 170  # darker by more than 26
+    image[30:40, 70:80] = 180  # darker by less
+    image[30:40, 90:95] = (0, 0, 255)  # as light as the page is not
+    image[25:26, 20:130] = 0  # a rule over the whole width
+    mask, area, figures = imaging.region_ink(image, (35, 28, 100, 42))
+    whole = imaging.merged(np.zeros((80, 140), bool), mask, area)
+    assert whole[30:40, 40:60].all() and whole[30:40, 90:95].all() and whole.sum() == 200 + 50
+    assert figures["selected"] == 250 and figures["colored_ink_fraction"] == 0.2
+    clean, mask, _ = imaging.erase_ink(image, [(35, 28, 100, 42)])
+    assert (clean[30:40, 40:60] == 200).all() and (clean[30:40, 90:95] == 200).all() and (clean[30:40, 70:80] == 180).all()
+    only, alpha = imaging.overlay(image, mask)
+    assert (only[alpha == 0] == 0).all() and (only[35, 50] == 200).all()
+    with pytest.raises(ValueError):
+        imaging.merged(np.zeros((80, 140), bool), mask, (0, 0, 5, 5))
+
+
+def test_background_of_a_block_falls_back():
+    image = np.full((30, 30, 3), 100, np.uint8)
+    for lines, box, name in (
+        ([(5, 5, 20, 10)], (4, 4, 21, 11), "union_of_per_line_outer_rings"),
+        ([(0, 0, 30, 29)], (0, 0, 30, 29), "merged_block_outer_ring"),
+        ([(0, 0, 30, 30)], (0, 0, 30, 30), "block_interior"),
+    ):
+        colour, n, sampled = imaging.block_colour(image, lines, box, box, 3)
+        assert sampled == name and colour.tolist() == [100] * 3 and n >= 8
+    assert imaging.crop_colour(image, (40, 40, 50, 50)).tolist() == [255.0] * 3
+    image[0] = 7
+    assert imaging.pixel_at(image, 3, -5).tolist() == [7, 7, 7] and imaging.around_colour(image, (10, 10, 20, 20)).tolist() == [100.0] * 3
+    framed = imaging.outlined(image, [(5, 5, 15, 15)], [imaging.ERASED])
+    assert (framed[5, 5:15] == imaging.ERASED).all() and (framed[8, 8] == 100).all()
+
+
+def test_png_round_trip(spark):
+    import struct
+    import zlib
+
+    from vellumine.sources import png
+
+    rng = np.random.default_rng(2)
+    pixels, alpha = rng.integers(0, 256, (13, 7, 3), np.uint8), rng.integers(0, 256, (13, 7), np.uint8)
+    for a in (None, alpha):
+        got, shown = png.decoded(png.encoded(pixels, a))
+        assert (got == pixels).all() and (shown is None if a is None else (shown == a).all())
+    # Every filter type, by the definition: what is stored is the difference from the guess.
+    for kind in range(5):
+        for n, colour in ((1, 0), (3, 2), (2, 4), (4, 6)):
+            raw = rng.integers(0, 256, (5, 4, n), np.uint8).reshape(5, -1).astype(int)
+            rows = b""
+            for y in range(5):
+                rows += bytes([kind])
+                for x in range(raw.shape[1]):
+                    left = raw[y, x - n] if x >= n else 0
+                    up = raw[y - 1, x] if y else 0
+                    corner = raw[y - 1, x - n] if y and x >= n else 0
+                    p = left + up - corner
+                    paeth = min((abs(p - v), k, v) for k, v in enumerate((left, up, corner)))[2]
+                    rows += bytes([(raw[y, x] - (0, left, up, (left + up) // 2, paeth)[kind]) % 256])
+            head = struct.pack(">IIBBBBB", 4, 5, 8, colour, 0, 0, 0)
+            parts = [(b"IHDR", head), (b"IDAT", zlib.compress(rows)), (b"IEND", b"")]
+            data = png.SIGNATURE + b"".join(struct.pack(">I", len(b)) + k + b + struct.pack(">I", zlib.crc32(k + b)) for k, b in parts)
+            got, shown = png.decoded(data)
+            want = raw.reshape(5, 4, n)
+            assert (got[..., ::-1] == (want[..., :3] if n > 2 else want[..., :1])).all() and (shown is None or (shown == want[..., -1]).all())
+    files = spark.createDataFrame([("a", bytearray(png.encoded(pixels, alpha))), ("b", bytearray(b"no image"))], "path string, content binary")
+    found = {r.path: r for r in png.images(files).collect()}
+    assert (found["a"].width, found["a"].height, bytes(found["a"].alpha)) == (7, 13, alpha.tobytes()) and "not a PNG" in found["b"].error
+    back = png.files(png.images(files.where("path = 'a'")).selectExpr("1 AS page", "width", "height", "pixels", "alpha")).first()
+    assert (png.decoded(bytes(back.content))[0] == pixels).all()
 
 
 def test_retries_by_message_and_thinking():

@@ -6,12 +6,13 @@ from collections.abc import Callable
 from itertools import product
 
 from vellumine.functions.text import wrapped
+from vellumine.plans.rules import LEGACY, WRITER
 
 Rect = tuple[float, float, float, float]
 Measure = Callable[[str, float], float]
 
 
-def container(box: Rect, page: Rect, factor: float, most: float = 1.6, least_width: float = 48.0, margin: float = 6.0) -> Rect:
+def container(box: Rect, page: Rect, factor: float, most: float = LEGACY["maximum_width_expansion"], least_width: float = LEGACY["minimum_text_width_points"], margin: float = LEGACY["page_margin_points"]) -> Rect:
     """The box widened about its centre, at most ``most`` times, and moved inside the page's margins."""
     own = box[2] - box[0]
     wide = min(own * most, max(own * min(max(1.0, factor), most), min(least_width, own * most)))
@@ -26,22 +27,24 @@ def grid(first: float, last: float, step: float) -> list[float]:
     return [first, *[round(first + step * (k + 1), 3) for k in range(max(n, 0))], *([last] if n >= 0 else [])]
 
 
-def fitted(text: str, measure: Measure, box: Rect, page: Rect, size: float, least_size: float = 9.0, reduction: float = 2.0, step: float = 0.5, most: float = 1.6, spacing: float = 1.25, overflow: float = 1.0) -> tuple[Rect, float, list[str], float]:
+def fitted(text: str, measure: Measure, box: Rect, page: Rect, size: float, rules: dict = LEGACY) -> tuple[Rect, float, list[str], float]:
     """Rectangle, font size, lines and height ratio: the first of larger sizes, then narrower boxes, that fits; else the least overflow."""
-    size = max(least_size, size)
-    tried = []
-    for font, factor in product(grid(size, max(least_size, size - reduction), -step), grid(1.0, most, 0.05)):
-        rect = container(box, page, factor, most)
+    least, most = rules["minimum_font_size"], rules["maximum_width_expansion"]
+    size, tried = max(least, size), []
+    sizes = grid(size, max(least, size - rules["maximum_auto_font_reduction"]), -rules["font_size_step"]) if rules["auto_fit_font_size"] else [size]
+    for font, factor in product(sizes, grid(1.0, most, 0.05)):
+        rect = container(box, page, factor, most, rules["minimum_text_width_points"], rules["page_margin_points"])
         lines = wrapped(text, lambda x, f=font: measure(x, f), max(12.0, rect[2] - rect[0]), whole_words=True)
-        ratio = len(lines) * font * spacing / max(1.0, rect[3] - rect[1])
-        if ratio <= overflow:
+        ratio = len(lines) * font * rules["line_spacing"] / max(1.0, rect[3] - rect[1])
+        if ratio <= rules["maximum_vertical_overflow_ratio"]:
             return rect, font, lines, ratio
         tried.append(((ratio, -font, factor), (rect, font, lines, ratio)))
     return min(tried, key=lambda t: t[0])[1]
 
 
-def shrunk(text: str, measure: Measure, rect: Rect, size: float, least_size: float = 7.0, step: float = 0.5, spacing: float = 1.25) -> tuple[float, list[str], float]:
+def shrunk(text: str, measure: Measure, rect: Rect, size: float, rules: dict = WRITER) -> tuple[float, list[str], float]:
     """Font size, lines and height: smaller sizes until the text fits, or the least size is reached."""
+    least_size, step, spacing = rules["minimum_font_size"], rules["font_size_step"], rules["line_spacing"]
     while True:
         lines = wrapped(text, lambda x: measure(x, size), max(1.0, rect[2] - rect[0]), whole_words=False)
         height = len(lines) * size * spacing

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vellumine import schemas
 from vellumine.functions import text as T
+from vellumine.functions.text import stripped
 from vellumine.operators import rules
 
 
@@ -56,8 +58,8 @@ def decided(regions: DataFrame, decisions: DataFrame) -> DataFrame:
     return out.withColumn("translation", F.when(changed, F.col("final_translation")).otherwise(F.col("translation")))
 
 
-def decision_violations(regions: DataFrame, decisions: DataFrame) -> DataFrame:
-    """``page, id, violation`` of decisions that may not be applied."""
+def decision_violations(regions: DataFrame, decisions: DataFrame, older: bool = False) -> DataFrame:
+    """``page, id, violation`` of decisions that may not be applied; the older format has decisions that change nothing."""
     repeated = decisions.groupBy("page", "id").agg(F.count("*").alias("n")).where("n > 1").select("page", "id", F.lit("duplicate").alias("violation"))
     unknown = decisions.join(regions, ["page", "id"], "left_anti").select("page", "id", F.lit("unknown").alias("violation"))
     known = decisions.join(regions.select("page", "id", "translation"), ["page", "id"])
@@ -65,22 +67,29 @@ def decision_violations(regions: DataFrame, decisions: DataFrame) -> DataFrame:
     wrong = rules.first_of(
         {
             "blank": F.trim(F.coalesce("final_translation", F.lit(""))) == "",
-            "unchanged": F.col("decision").isin("replace", "normalize") & same,
+            "unchanged": F.lit(not older) & F.col("decision").isin(schemas.DECISIONS) & same,
             "discard changes text": (F.col("decision") == "discard") & ~same,
-            "bad decision": ~F.col("decision").isin("replace", "normalize", "discard"),
+            "bad decision": ~F.coalesce(F.col("decision").isin(schemas.OLDER_DECISIONS), F.lit(False)),
         }
     )
     return repeated.unionByName(unknown).unionByName(known.select("page", "id", wrong.alias("violation")).where("violation IS NOT NULL"))
 
 
 def locked_snapshot(regions: DataFrame, decisions: DataFrame, overrides: DataFrame) -> DataFrame:
-    """Final text of each region: a human override, else a decision, else the saved text."""
-    people = overrides.select("page", "id", F.col("final_translation").alias("_human"), F.col("reason").alias("_human_reason"))
+    """Final text of each region: a human override, else a decision, else the saved text; trimmed.
+
+    A region without a decision has the decision ``unchanged``; the reason is
+    that of what decided, and empty where none is given.
+    """
+    text = lambda c: stripped(F.coalesce(c, F.lit("")))
+    people = overrides.select("page", "id", text(F.col("final_translation")).alias("_human"), text(F.col("reason")).alias("_human_reason"))
     reviews = decisions.select("page", "id", "decision", F.col("final_translation").alias("_reviewed"), "reason", "child_note")
     out = regions.join(reviews, ["page", "id"], "left").join(people, ["page", "id"], "left")
-    source = F.when(F.col("_human").isNotNull(), "human_override").when(F.col("_reviewed").isNotNull(), "codex_adjudication").otherwise("saved_page_translation")
-    out = out.withColumn("final_translation", F.coalesce("_human", "_reviewed", "translation")).withColumn("translation_source", source)
-    return out.select("page", "id", "type", "source_text", "final_translation", "translation_source", "decision", F.coalesce("_human_reason", "reason").alias("reason"), "child_note", F.lit(True).alias("locked"))
+    source = F.when(F.col("_human").isNotNull(), "human_override").when(F.col("decision").isNotNull(), "codex_adjudication").otherwise("saved_page_translation")
+    out = out.withColumn("final_translation", F.coalesce("_human", text(F.coalesce("_reviewed", "translation")))).withColumn("translation_source", source)
+    reason, note = F.coalesce("_human_reason", text(F.col("reason"))), text(F.col("child_note"))
+    kind, decision = F.coalesce("type", F.lit("other")), F.coalesce("decision", F.lit("unchanged"))
+    return out.select("page", "id", kind.alias("type"), "source_text", "final_translation", "translation_source", decision.alias("decision"), reason.alias("reason"), note.alias("child_note"), F.lit(True).alias("locked"))
 
 
 def set_overlap(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -114,12 +123,6 @@ def two_pass(first: DataFrame, second: DataFrame, asked: DataFrame, order: DataF
     return kept.join(order.select("id", "pos"), "id").orderBy("pos").drop("pos")
 
 
-def latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The last row of each key."""
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order]))
-    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
-
-
 def first_wins(df: DataFrame, keys: list[str], pos: str) -> DataFrame:
     """The first row of each key."""
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(pos))

@@ -16,9 +16,9 @@ def histogram(df: DataFrame, value: str) -> DataFrame:
     return df.groupBy(value).agg(F.count("*").alias("n"))
 
 
-def histogram_map(df: DataFrame, value: str) -> DataFrame:
+def histogram_map(df: DataFrame, value: str, name: str = "counts") -> DataFrame:
     """One row: counts by value, values in order."""
-    return histogram(df, value).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(value, "n")))).alias("counts"))
+    return histogram(df.where(F.col(value).isNotNull()), value).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(value, "n")))).alias(name))
 
 
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -119,11 +119,13 @@ def size_mismatches(source: DataFrame, output: DataFrame) -> DataFrame:
 def page_context(regions: DataFrame, by: str, pos: str, label: Column, source: str, base: str = "", limit: int = 300) -> DataFrame:
     """For each region at most ``limit`` characters: what it is, then all texts of its page, nearest first.
 
-    Neighbours further away than ``limit`` positions can't be reached within the limit.
+    Each neighbour takes five characters at least (a colon, a bar and the blanks
+    beside them), so those further away than ``limit / 5`` can't be reached.
     """
+    reach = -(-limit // 5)
     named = regions.select(by, pos, F.col(source).alias("_source"), label.alias("_label"))
     other = named.select(F.col(by).alias("_by"), F.col(pos).alias("_pos"), F.concat(F.col("_label"), F.lit(": "), F.coalesce("_source", F.lit(""))).alias("_text"))
-    near = named.join(other, (F.col(by) == F.col("_by")) & F.col("_pos").between(F.col(pos) - limit, F.col(pos) + limit))
+    near = named.join(other, (F.col(by) == F.col("_by")) & F.col("_pos").between(F.col(pos) - reach, F.col(pos) + reach))
     distance = F.abs(F.col("_pos") - F.col(pos))
     texts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(distance.alias("d"), F.col("_pos").alias("p"), F.substring("_text", 1, limit).alias("t")))), lambda x: x["t"]), " | ")
     head = base.strip()[: min(120, limit)]

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from vellumine.functions import geometry as G
 from vellumine.functions import stats
 from vellumine.functions import text as T
-from vellumine.operators import layout, merge, ranges, reports, rules, validate
+from vellumine.operators import answers, book, layout, merge, ranges, reports, rules, validate
+from vellumine.plans.rules import WRITER
+from vellumine.sources import scans, sinks
 from vellumine.sources.scans import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -329,8 +331,8 @@ def box_components(spark: SparkSession, sf: str) -> DataFrame:
 )
 def union_boxes(spark: SparkSession, sf: str) -> DataFrame:
     """Bounding box of each page's boxes."""
-    boxes = _boxes(spark, sf).groupBy("page").agg(F.min(F.col("box")[0]).alias("x1"), F.min(F.col("box")[1]).alias("y1"), F.max(F.col("box")[2]).alias("x2"), F.max(F.col("box")[3]).alias("y2"))
-    return boxes
+    whole = _boxes(spark, sf).groupBy("page").agg(G.union(F.collect_list("box")).alias("b"))
+    return whole.select("page", *[F.col("b")[k].alias(c) for k, c in enumerate(("x1", "y1", "x2", "y2"))])
 
 
 @_query(
@@ -550,3 +552,271 @@ def region_mapping(spark: SparkSession, sf: str) -> DataFrame:
     layouts = marked.groupBy("page").agg(content.alias("content")).select(F.col("page").cast("int").alias("page"), "content")
     regions = named.select(F.col("page").cast("int").alias("page"), F.col("id").alias("pos"), F.col("id").cast("string").alias("id"), F.lit("other").alias("type"), F.col("p_name").alias("source_text"), F.col("p_name").alias("final_translation"), F.lit("saved_page_translation").alias("translation_source"))
     return layout.map_regions(regions, layouts)
+
+
+# Model answers: JSON is built from the tables, read back by the operators.
+
+
+def _answers(rows: DataFrame, by: str, item, field: str, more: dict | None = None) -> DataFrame:
+    """An answer for each group: a JSON object between other words."""
+    body = F.to_json(F.struct(F.array_sort(F.collect_list(item)).alias(field), *[v.alias(k) for k, v in (more or {}).items()]))
+    content = F.concat(F.lit("Here {it} is: "), body, F.lit(" - done"))
+    return answers.with_objects(rows.groupBy(by).agg(content.alias("content")), found=F.col("content"))
+
+
+@_query(
+    """SELECT l_orderkey, CAST(l_partkey AS VARCHAR) AS id, lower(l_returnflag) AS type, l_linestatus AS source_text, count(*) AS n FROM lineitem GROUP BY ALL"""
+)
+def study_answers(spark: SparkSession, sf: str) -> DataFrame:
+    """Regions of each order's reading: numbers as texts, blanks cut, types in lower case."""
+    item = F.struct(F.col("l_partkey").alias("id"), F.concat(F.lit(" "), "l_returnflag").alias("type"), F.concat("l_linestatus", F.lit("\n")).alias("source_text"))
+    read = _answers(table(spark, sf, "lineitem"), "l_orderkey", item, "regions").select("l_orderkey", answers.study(F.col("found")).alias("a"))
+    rows = read.where("a.error IS NULL").select("l_orderkey", F.explode("a.regions").alias("r")).select("l_orderkey", "r.id", "r.type", "r.source_text")
+    return rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+
+
+@_query(
+    """SELECT l_orderkey, CAST(l_linenumber % 3 AS VARCHAR) AS id, CAST(max(l_linenumber) AS VARCHAR) AS translation FROM lineitem GROUP BY l_orderkey, l_linenumber % 3"""
+)
+def translation_answers(spark: SparkSession, sf: str) -> DataFrame:
+    """Of several texts of an id the last one holds."""
+    item = F.struct(F.col("l_linenumber").alias("at"), (F.col("l_linenumber") % 3).cast("string").alias("id"), F.col("l_linenumber").cast("string").alias("translation"))
+    read = _answers(table(spark, sf, "lineitem"), "l_orderkey", item, "translations").select("l_orderkey", answers.translations(F.col("found")).alias("a"))
+    return read.select("l_orderkey", F.explode("a.translations").alias("id", "translation"))
+
+
+_ISSUE_SQL = """WITH i AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_linenumber % 3 AS VARCHAR) AS id, CASE WHEN l_suppkey % 7 = 0 THEN 'odd' WHEN l_suppkey % 2 = 0 THEN 'name' ELSE 'number' END AS category FROM lineitem)"""
+
+
+@_query(
+    _ISSUE_SQL + """, e AS (SELECT l_orderkey FROM i GROUP BY 1 HAVING bool_or(category = 'odd')),
+f AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, id, category ORDER BY l_linenumber, l_partkey, l_suppkey) AS r FROM i WHERE l_orderkey NOT IN (SELECT l_orderkey FROM e))
+SELECT l_orderkey, CAST(NULL AS VARCHAR) AS error, id, category, CAST(l_partkey AS VARCHAR) AS explanation FROM f WHERE r = 1
+UNION ALL SELECT l_orderkey, 'invalid_translation_verifier_json: Translation verifier returned invalid category: odd', NULL, NULL, NULL FROM e"""
+)
+def verifier_issues(spark: SparkSession, sf: str) -> DataFrame:
+    """Issues of each order's verifier: the first of each id and category, or why the answer is refused."""
+    category = F.when(F.col("l_suppkey") % 7 == 0, "odd").when(F.col("l_suppkey") % 2 == 0, "name").otherwise("number")
+    item = F.struct(F.col("l_linenumber").alias("a"), F.col("l_partkey").alias("b"), F.col("l_suppkey").alias("c"), (F.col("l_linenumber") % 3).cast("string").alias("id"), category.alias("category"), F.col("l_partkey").cast("string").alias("explanation"))
+    read = _answers(table(spark, sf, "lineitem"), "l_orderkey", item, "issues")
+    call = F.struct("content", F.lit(None).cast("string").alias("error"))
+    read = read.select("l_orderkey", answers.translation_comparison(call, F.col("found"), F.array(*map(F.lit, "012"))).alias("a"))
+    return read.select("l_orderkey", "a.error", F.explode_outer("a.issues").alias("i")).select("l_orderkey", "error", "i.id", "i.category", "i.explanation")
+
+
+@_query(
+    """WITH d AS (SELECT doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS pos, source FROM documents), i AS (SELECT source, pos, doc_id FROM d WHERE pos <= 40)
+SELECT source, CAST(doc_id % 10 AS INT) AS page, CAST(min(pos) AS VARCHAR) AS reason FROM i GROUP BY source, doc_id % 10"""
+)
+def chapter_issues(spark: SparkSession, sf: str) -> DataFrame:
+    """Issues of a source's first documents: the first of each page, id and category."""
+    pos = F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))
+    rows = table(spark, sf, "documents").select("source", "doc_id", pos.alias("pos")).where("pos <= 40")
+    page = F.col("doc_id") % 10
+    item = F.struct("pos", page.cast("string").alias("page"), F.lit("a").alias("id"), F.lit("name").alias("category"), F.col("pos").cast("string").alias("reason"))
+    read = _answers(rows, "source", item, "issues", {"global_consistency": F.array().cast("array<string>")})
+    known = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda p: F.struct(p.alias("page"), F.lit("a").alias("id")))
+    read = read.select("source", answers.chapter_review(F.col("found"), known).alias("a"))
+    return read.select("source", F.explode("a.issues").alias("i")).select("source", "i.page", "i.reason")
+
+
+@_query(
+    """WITH l AS (SELECT l_orderkey AS page, CAST(l_linenumber AS VARCHAR) AS id, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity) AS r, l_returnflag AS t, l_quantity FROM lineitem)
+SELECT page, id, t AS original_translation, CASE WHEN l_quantity > 40 THEN 'new ' || t ELSE t END AS translation, CASE WHEN l_quantity > 40 THEN 'replace' WHEN l_quantity > 30 THEN 'discard' END AS decision FROM l WHERE r = 1"""
+)
+def chapter_decisions(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines with a chapter's decisions: large ones replaced, middle ones kept on purpose."""
+    first = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_suppkey", "l_quantity"))
+    lines = table(spark, sf, "lineitem").withColumn("r", first).where("r = 1").select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").cast("string").alias("id"), F.col("l_returnflag").alias("translation"), "l_quantity")
+    large = F.col("l_quantity") > 40
+    none = F.lit("").alias
+    decisions = lines.where("l_quantity > 30").select("page", "id", F.when(large, "replace").otherwise("discard").alias("decision"), F.when(large, F.concat(F.lit("new "), "translation")).otherwise(F.col("translation")).alias("final_translation"), none("reason"), none("confidence"), none("child_note"))
+    out, _ = book.adjudicated(lines.drop("l_quantity"), decisions, spark.createDataFrame([], "page long, id string"))
+    return out.select("page", "id", "original_translation", "translation", "adjudication.decision")
+
+
+@_query(
+    """WITH t AS (SELECT o_custkey % 50 AS task, o_orderkey AS page, o_totalprice FROM orders), v AS (
+  SELECT page, CASE WHEN page % 11 = 0 THEN 'no review' WHEN page % 13 = 0 THEN 'plan changed' WHEN page % 17 = 0 THEN 'open human review' END AS violation FROM t)
+SELECT page, violation FROM v WHERE violation IS NOT NULL"""
+)
+def review_violations(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as planned pages: those whose review is missing or may not be merged."""
+    orders = table(spark, sf, "orders").select((F.col("o_custkey") % 50).cast("string").alias("task_id"), F.col("o_orderkey").alias("page"))
+    ids = F.array(F.lit("a"))
+    pages = orders.select("page", F.lit("study").alias("mode"), F.lit("h").alias("sha256"), ids.alias("region_ids"))
+    human = F.when(F.col("page") % 17 == 0, F.array(F.struct(F.lit("a").alias("id")))).otherwise(F.array().cast("array<struct<id:string>>"))
+    plan = F.when(F.col("page") % 13 == 0, "old").otherwise("p")
+    reviews = orders.where("page % 11 <> 0").select("page", "task_id", F.lit(5).alias("schema_version"), F.col("task_id").alias("thread_id"), plan.alias("plan_sha256"), F.lit("h").alias("page_sha256"), ids.alias("region_ids"), human.alias("human_review"))
+    return book.reviewed_pages(orders, pages, reviews, "p")
+
+
+@_query(
+    """WITH r AS (SELECT d.doc_id AS id, CASE WHEN toxic = 1 THEN 'human_override' WHEN quality = 0 THEN 'codex_adjudication' ELSE 'saved_page_translation' END AS translation_source, lang FROM documents d LEFT JOIN labels l USING (doc_id))
+SELECT translation_source, count(*) AS n FROM r GROUP BY 1"""
+)
+def final_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """How many final texts come from people, reviews and the saved pages."""
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    named = docs.join(labels, "doc_id", "left")
+    review = F.when(F.col("quality") == 0, F.struct(F.lit("replace").alias("decision"), F.lit("r").alias("reason"), F.lit("high").alias("confidence"), F.lit("").alias("child_note")))
+    regions = named.select(F.lit(1).alias("page"), F.col("doc_id").alias("id"), F.lit("other").alias("type"), F.lit("").alias("source_text"), F.col("lang").alias("translation"), review.alias("adjudication"))
+    people = named.where("toxic = 1").select(F.lit(1).alias("page"), F.col("doc_id").alias("id"), F.lit("mine").alias("final_translation"), F.lit("").alias("reason"))
+    _, counts = book.final_snapshot(regions, people)
+    return counts.select(F.explode("translation_source_counts").alias("translation_source", "n"))
+
+
+@_query(
+    r"""WITH k AS (SELECT item_id % 20 AS page, item_id, regexp_replace(trim(text), '\s+', ' ', 'g') AS key FROM (SELECT item_id, text FROM benchmark UNION ALL SELECT item_id + 1000000, '  ' || replace(text, ' ', '   ') FROM benchmark WHERE item_id % 3 = 0))
+SELECT count(*) AS n, arg_min(page, (page, item_id)) AS first_page FROM k GROUP BY lower(key) HAVING count(*) > 1"""
+)
+def repeated_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts that occur again with other blanks."""
+    items = table(spark, sf, "benchmark")
+    again = items.where("item_id % 3 = 0").select((F.col("item_id") + 1000000).alias("item_id"), F.concat(F.lit("  "), F.replace("text", F.lit(" "), F.lit("   "))).alias("text"))
+    regions = items.unionByName(again).select((F.col("item_id") % 20).alias("page"), F.col("item_id").alias("pos"), F.col("item_id").cast("string").alias("id"), F.col("text").alias("source_text"), F.lit("t").alias("translation"))
+    return book.repeated_texts(regions).select("n", "first_page")
+
+
+def _mappings(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _boxes(spark, sf).withColumnRenamed("box", "placement_box")
+    coverage = (F.col("page") * 7 + F.col("id") * 13) % 101 / 100
+    warned = F.when((F.col("page") + F.col("id")) % 3 == 0, F.array(F.lit("ambiguous_layout_candidates"))).otherwise(F.array().cast("array<string>"))
+    placed = F.when((F.col("page") + F.col("id")) % 10 != 0, F.col("placement_box"))
+    kind = F.when(F.col("id") % 2 == 0, "dialogue").otherwise("definition")
+    rows = rows.select("page", F.col("id").cast("string").alias("id"), kind.alias("type"), F.lit("x").alias("final_translation"), placed.alias("placement_box"), coverage.alias("match_coverage"), warned.alias("warnings"))
+    return rows.withColumn("confidence", rules.confidence(F.col("match_coverage"), F.col("placement_box").isNotNull())).withColumn("layout_item_indexes", F.array((F.length("id")).cast("int")))
+
+
+_MAPPINGS = f"""b AS ({_BOXES}), m AS (SELECT page, id, box, (page * 7 + id * 13) % 101 / 100.0 AS c, (page + id) % 3 = 0 AS warned, (page + id) % 10 <> 0 AS placed, id % 2 = 0 AS speech, page % 50 = 0 AS skip, page % 50 = 1 AS force FROM b)"""
+
+
+@_query(
+    f"""WITH {_MAPPINGS}, w AS (SELECT *, CASE WHEN skip THEN 'skipped_by_override' WHEN NOT placed THEN 'unmatched_skipped' WHEN NOT force AND c < 0.65 THEN 'skipped_low_confidence' WHEN NOT force AND warned AND c < 0.9 THEN 'skipped_ambiguous_mapping' ELSE 'written' END AS status FROM m)
+SELECT page, CAST(id AS VARCHAR) AS id, status, CASE WHEN status = 'written' THEN CAST(CASE WHEN force THEN 20 WHEN speech THEN 11 ELSE 10 END AS DOUBLE) END AS font_size, CASE WHEN status = 'written' THEN CASE WHEN speech THEN 'center' ELSE 'left' END END AS alignment,
+  CASE WHEN status = 'written' THEN CAST(greatest(0, box[1] - 4) AS DOUBLE) END AS x1, CASE WHEN status = 'written' THEN CAST(least(1000, box[3] + 4) AS DOUBLE) END AS x2 FROM w"""
+)
+def written_regions(spark: SparkSession, sf: str) -> DataFrame:
+    """What the writer does with each line, and where: overrides of some pages skip, or force at a size."""
+    mappings = _mappings(spark, sf)
+    none = lambda kind: F.lit(None).cast(kind)
+    chosen = mappings.where("page % 50 IN (0, 1)")
+    overrides = chosen.select("page", "id", (F.col("page") % 50 == 0).alias("skip"), (F.col("page") % 50 == 1).alias("force_write"), none("array<double>").alias("placement_box"), none("double").alias("offset_x"), none("double").alias("offset_y"), F.when(F.col("page") % 50 == 1, 20.0).alias("font_size"), none("string").alias("text_color"), none("string").alias("alignment"), none("string").alias("vertical_alignment"))
+    out = book.written_regions(mappings, overrides, WRITER, WRITER["font_sizes"], WRITER["alignment_by_type"])
+    return out.select("page", "id", "status", "font_size", "alignment", F.col("box")[0].alias("x1"), F.col("box")[2].alias("x2"))
+
+
+@_query(
+    f"""WITH {_MAPPINGS} SELECT page, count(*) AS region_count, count(*) FILTER (placed) AS mapped_count, CAST(sum(CASE WHEN warned THEN 1 ELSE 0 END) AS BIGINT) AS warning_count FROM m GROUP BY 1"""
+)
+def placement_plan(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines placed and warnings, by page."""
+    return book.placement_plan(_mappings(spark, sf))[0]
+
+
+@_query(
+    f"""WITH b AS ({_BOXES}), p AS (SELECT x.page, x.id AS first_id, y.id AS second_id, x.box AS a, y.box AS b FROM b x JOIN b y ON x.page = y.page AND y.id = x.id + 1),
+g AS (SELECT *, greatest(b[2] - a[4], a[2] - b[4], 0.0) AS down, greatest(least(a[4], b[4]) - greatest(a[2], b[2]), 0.0) AS common, greatest(1, a[3] - a[1]) AS wa, greatest(1, b[3] - b[1]) AS wb, greatest(1, a[4] - a[2]) AS ha, greatest(1, b[4] - b[2]) AS hb,
+  greatest(least(a[3], b[3]) - greatest(a[1], b[1]), 0.0) AS across, abs((a[1] + a[3]) - (b[1] + b[3])) / 2 AS drift FROM p)
+SELECT page, first_id, second_id, CAST(down AS DOUBLE) AS down, CAST(common AS DOUBLE) AS common, down <= greatest(2, least(ha, hb) * 0.20 + 2) AND drift <= greatest(12, greatest(wa, wb) * 0.55) AND NOT (common >= 0.55 * least(ha, hb) AND across < 0.35 * least(wa, wb)) AS one_block,
+  CAST(least(greatest(a[1], 0), 700) AS DOUBLE) AS clamped_x, a[1] / CAST(1000 AS DOUBLE) * 540 AS on_page_x, CAST(greatest(0, a[2] - 3) AS DOUBLE) AS padded_y FROM g"""
+)
+def box_measures(spark: SparkSession, sf: str) -> DataFrame:
+    """Gap, common height, and one block or not, of neighbouring boxes; the first one clamped, on a page, and padded."""
+    boxes = _boxes(spark, sf)
+    pairs = boxes.select("page", F.col("id").alias("first_id"), F.col("box").alias("a")).join(boxes.select("page", F.col("id").alias("second_id"), (F.col("id") - 1).alias("first_id"), F.col("box").alias("b")), ["page", "first_id"])
+    a, b = F.col("a"), F.col("b")
+    on_page = G.to_points(a, F.lit(540.0), F.lit(700.0))
+    return pairs.select("page", "first_id", "second_id", G.gap(a[1], a[3], b[1], b[3]).alias("down"), G.shared(a[1], a[3], b[1], b[3]).alias("common"), G.same_block(a, b).alias("one_block"), G.clamped(a, F.lit(700.0), F.lit(700.0))[0].alias("clamped_x"), on_page[0].alias("on_page_x"), G.padded(a, [3.0, 3.0, 3.0, 3.0])[1].alias("padded_y"))
+
+
+@_query(
+    """WITH c AS (SELECT p_partkey, CAST(p_partkey * 7919 % 256 AS INT) AS r, CAST(p_partkey * 104729 % 256 AS INT) AS g, CAST(p_size * 5 % 256 AS INT) AS b FROM part)
+SELECT p_partkey, printf('#%02X%02X%02X', r, g, b) AS code, round(CAST(0.2126 AS DOUBLE) * r + CAST(0.7152 AS DOUBLE) * g + CAST(0.0722 AS DOUBLE) * b, 6) AS luminance FROM c"""
+)
+def colours(spark: SparkSession, sf: str) -> DataFrame:
+    """Colour codes read, written again, and their luminance."""
+    parts = [F.col("p_partkey") * 7919 % 256, F.col("p_partkey") * 104729 % 256, F.col("p_size") * 5 % 256]
+    code = F.format_string("#%02x%02x%02x", *[p.cast("int") for p in parts])
+    rows = table(spark, sf, "part").select("p_partkey", T.colour_parts(code).alias("c"))
+    return rows.select("p_partkey", T.colour_code(F.col("c")).alias("code"), F.round(T.luminance(F.col("c")), 6).alias("luminance"))
+
+
+@_query(
+    """SELECT CAST(doc_id AS VARCHAR) AS name, CASE WHEN doc_id % 10 = 0 THEN 'missing' WHEN doc_id % 7 = 0 THEN 'changed' WHEN doc_id % 5 = 1 THEN 'bad digest' END AS violation FROM documents WHERE doc_id % 10 = 0 OR doc_id % 7 = 0 OR doc_id % 5 = 1"""
+)
+def changed_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts as files: listed ones that are gone, that changed, or whose digest is none."""
+    docs = table(spark, sf, "documents").select(F.col("doc_id"), F.col("doc_id").cast("string").alias("name"), F.sha2(F.col("text"), 256).alias("sha256"))
+    digest = F.when((F.col("doc_id") % 7 == 0) | (F.col("doc_id") % 10 == 0), F.sha2("name", 256)).when(F.col("doc_id") % 5 == 1, F.upper(F.concat(F.lit("x"), "sha256"))).otherwise(F.col("sha256"))
+    return validate.changed_files(docs.where("doc_id % 10 <> 0").select("name", "sha256"), docs.select("name", digest.alias("sha256")))
+
+
+@_query(
+    r"""SELECT conv_id, turn, regexp_replace(text, '\r\n?', chr(10), 'g') AS text, role || ': ' || text AS said FROM conversations"""
+)
+def payload_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts out of the two kinds of payloads that providers send."""
+    part = lambda c: F.struct(F.lit("text").alias("type"), c.alias("text"))
+    said = F.concat("role", F.lit(": "), "text")
+    chat = F.to_json(F.struct(F.array(F.struct(F.struct(F.array(part(F.concat("role", F.lit(": "))), part(F.col("text"))).alias("content")).alias("message"))).alias("choices")))
+    answer = F.to_json(F.struct(F.array(F.struct(F.lit("message").alias("type"), F.array(part(F.col("text"))).alias("content"))).alias("output")))
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", T.unified_newlines(T.response_text(answer)).alias("text"), T.chat_text(chat).alias("said"), said.alias("want"))
+    return rows.drop("want")
+
+
+@_query(
+    """SELECT o_orderkey AS page FROM orders WHERE o_orderkey % 4 = 1 OR o_orderkey % 9 = 0"""
+)
+def size_mismatches(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as pages: those whose sizes differ, or that one side lacks."""
+    pages = table(spark, sf, "orders").select(F.col("o_orderkey").alias("page"), F.col("o_totalprice").alias("width"), F.lit(1.0).alias("height"))
+    moved = pages.where("page % 9 <> 0").withColumn("width", F.col("width") + F.when(F.col("page") % 4 == 1, 1.0).otherwise(0.001 * 0))
+    return reports.size_mismatches(pages, moved)
+
+
+@_query(
+    """SELECT page_id % 97 AS page, '<section id="' || page_id || '">' AS opening, count(*) AS n FROM pages GROUP BY ALL"""
+)
+def region_cards(spark: SparkSession, sf: str) -> DataFrame:
+    """Cards of pages: how each begins."""
+    rows = table(spark, sf, "pages").select((F.col("page_id") % 97).alias("page"), F.col("page_id").alias("pos"), F.col("page_id").cast("string").alias("id"), F.col("url").alias("source_text"), F.lit("<b>").alias("translation"))
+    issues = rows.where("pos % 2 = 0").select("page", "id", F.lit("why & what").alias("explanation"))
+    cards = sinks.region_cards(rows, issues)
+    opened = cards.select("page", F.explode(F.regexp_extract_all("html", F.lit('<section id="[^"]*">'), F.lit(0))).alias("opening"))
+    return opened.groupBy("page", "opening").agg(F.count("*").alias("n"))
+
+
+@_query(
+    """WITH c AS (SELECT o_orderkey AS page, 1 + (o_orderkey % 3) AS n FROM orders)
+SELECT page, n, CASE WHEN n = 0 THEN NULL ELSE 'f1' END AS path FROM c"""
+)
+def cleaned_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Files found for each wanted page, and the first one."""
+    wanted = table(spark, sf, "orders").select(F.col("o_orderkey").cast("int").alias("page"))
+    files = wanted.select("page", F.explode(F.sequence(F.lit(1), (1 + F.col("page") % 3).cast("int"))).alias("k"))
+    files = files.select(F.concat(F.lit("page-"), F.lpad(F.col("page").cast("string"), 7, "0"), F.lit("-clean.png")).alias("name"), F.concat(F.lit("f"), F.col("k").cast("string")).alias("path"))
+    return scans.cleaned_pages(files, wanted).select(F.col("page").cast("long").alias("page"), "n", "path")
+
+
+@_query(
+    """WITH r AS (SELECT c_custkey AS book, c_custkey * 100 AS first, c_custkey * 100 + 1 + c_nationkey AS last FROM customer)
+SELECT CAST(book AS VARCHAR) AS task_id, unnest(range(first, last + 1)) AS page FROM r"""
+)
+def page_tasks(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page of every task."""
+    first = (F.col("c_custkey") * 100).cast("long")
+    tasks = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("task_id"), first.alias("pdf_start_page"), (first + 1 + F.col("c_nationkey")).alias("pdf_end_page"))
+    return ranges.page_tasks(tasks)
+
+
+@_query(
+    """SELECT o_orderkey AS page, CASE WHEN o_orderkey % 10 = 3 THEN 'missing translations' ELSE 'not a study page' END AS violation FROM orders WHERE o_orderkey % 10 = 3 OR o_orderkey % 4 = 0"""
+)
+def refused_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as pages that can't be verified again."""
+    text = F.when(F.col("o_orderkey") % 10 == 3, "").otherwise("t")
+    study = F.struct(F.array(F.struct(F.lit("a").alias("id"), text.alias("translation"))).alias("regions"))
+    mode = F.when(F.col("o_orderkey") % 4 == 0, "exact").otherwise("study")
+    records = table(spark, sf, "orders").select(F.col("o_orderkey").alias("page"), mode.alias("mode"), study.alias("study"), F.struct(F.lit("{}").alias("content")).alias("primary"))
+    return book.refused_again(records, True)
