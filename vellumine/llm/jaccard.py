@@ -289,12 +289,10 @@ def link_documents(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", t
     named = texts.where("doc_id IS NOT NULL")
     prefixes = named.mapInArrow(frugal(_prefixes(frequent, num, den)), "rep long, n int, early int, tokens array<long>")
     prefixes = prefixes.join(classes.select("rep").distinct(), "rep", "left_semi")
-    rows = prefixes.select("rep", "n", "early", F.posexplode("tokens").alias("pos", "token"))
+    rows = prefixes.select("rep", "n", "early", F.posexplode("tokens").alias("at", "token")).select("token", "rep", "n", (F.col("at") + 1).alias("pos"), (F.col("at") >= F.col("early")).alias("late"))
     # Frequent shingles are taken as shared: their rows need not meet in one task.
-    late = F.col("pos") >= F.col("early")
-    sharing = F.count("*").over(Window.partitionBy("token", F.when(late, F.pmod("rep", F.lit(PARTS))).otherwise(0)))
-    rows = rows.select("token", "rep", "n", (F.col("pos") + 1).alias("pos"), "early").withColumn("sharing", sharing)
-    matrix = cut(rows.where((F.col("sharing") > 1) | (F.col("pos") > F.col("early"))).select("token", "rep", "n", "pos"), "jaccard-matrix")
+    sharing = F.count("*").over(Window.partitionBy("token", F.when(F.col("late"), F.pmod("rep", F.lit(PARTS))).otherwise(0)))
+    matrix = cut(rows.withColumn("sharing", sharing).where((F.col("sharing") > 1) | F.col("late")).select("token", "rep", "n", "pos"), "jaccard-matrix")
 
     # Classes that share enough of their prefix with classes of some size to link with one.
     matrix = matrix.withColumn("band", F.floor(F.log(F.col("n")) / float(np.log(BAND))).cast("int"))
