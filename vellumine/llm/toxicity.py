@@ -16,10 +16,17 @@ and the penalty of the fit weighs what passes it.  A feature's value is its
 damped frequency, ``SCALE * count / (words + DAMP)``, so that long texts do
 not become severe by containing everything once.
 
+Grade 2 stands for "toxic and of low quality" where it comes from ``grades``:
+the labels say no more about severity, so the upper threshold separates these
+two kinds of labels and no finer degrees.
+
 Defined results: a null text is empty; a text without known features has the
 base severity; labels without a grade are not used; of several labels of a
-document the highest holds; with no usable labels every severity is 0; a null language, or documents
-without that column, are one language.
+document the highest holds; with no usable labels every severity is 0; a null
+language, or documents without that column, are one language; repeated rows
+are rated each; an empty table gives no rows; extra columns are ignored by
+``rate_documents`` and kept by ``keep_civil``, whatever their names.  A very
+long text is rated whole; its words are held as a list.
 """
 
 from __future__ import annotations
@@ -36,11 +43,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vellumine.llm._shared import by_bytes, cut, free_name, frugal, local_table
+
 #: Letters of the word beginnings that are features beside whole words.
 BEGINNINGS = (5, 7)
 SCALE, DAMP = 200.0, 100.0
 #: Words whose weight a worker remembers before it starts afresh.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 _words = re.compile(r"[^\W\d_]+")
 
@@ -126,20 +135,21 @@ _SAMPLED = "grade int, lang string, share double, bucket long, features array<st
 def _sampled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
-    for batch in batches:
-        out: list[list] = [[], [], []]
-        for text in batch.column(3).to_pylist():
-            found = words(text)
-            shingles = {" ".join(found[k : k + 5]) for k in range(max(1, len(found) - 4))}
-            counts: Counter[str] = Counter()
-            for word, n in Counter(found).items():
-                for feature in features(word):
-                    counts[feature] += n
-            amounts = [SCALE * n / (len(found) + DAMP) for n in counts.values()]
-            for column, x in zip(out, (min(map(xxhash.xxh64_intdigest, shingles)) >> 1, list(counts), amounts), strict=True):
-                column.append(x)
-        kinds = (pa.int64(), pa.list_(pa.string()), pa.list_(pa.float64()))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(c, t) for c, t in zip(out, kinds, strict=True))], ["grade", "lang", "share", "bucket", "features", "amounts"])
+    for whole in batches:
+        for batch in by_bytes(whole, 3, 500_000):  # the features of a text take many times its bytes
+            out: list[list] = [[], [], []]
+            for text in batch.column(3).to_pylist():
+                found = words(text)
+                shingles = (" ".join(found[k : k + 5]) for k in range(max(1, len(found) - 4)))
+                counts: Counter[str] = Counter()
+                for word, n in Counter(found).items():
+                    for feature in features(word):
+                        counts[feature] += n
+                amounts = [SCALE * n / (len(found) + DAMP) for n in counts.values()]
+                for column, x in zip(out, (min(map(xxhash.xxh64_intdigest, shingles)) >> 1, list(counts), amounts), strict=True):
+                    column.append(x)
+            kinds = (pa.int64(), pa.list_(pa.string()), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(c, t) for c, t in zip(out, kinds, strict=True))], ["grade", "lang", "share", "bucket", "features", "amounts"])
 
 
 def level(sizes: Iterable[int], max_rows: int) -> float:
@@ -161,7 +171,7 @@ def sample(docs: DataFrame, labels: DataFrame, max_rows: int, id_col: str = "doc
     found = graded.groupBy("id").agg(F.max("grade").alias("grade")).join(langs, "id")
     strata = found.groupBy("grade", "lang").count().collect()
     most = level((r["count"] for r in strata), max_rows)
-    shares = found.sparkSession.createDataFrame([(r.grade, r.lang, min(1.0, most / r["count"])) for r in strata], "grade int, lang string, share double")
+    shares = local_table(found.sparkSession, [(r.grade, r.lang, min(1.0, most / r["count"])) for r in strata], "grade int, lang string, share double")
     found = found.join(F.broadcast(shares), ["grade", "lang"]).select("id", "grade", "lang", "share")
     place = F.xxhash64("id") / F.lit(2.0**64) + 0.5
     return found.orderBy(F.when(F.col("share") < 1, place / F.col("share")).otherwise(-1.0), "id").limit(max_rows)
@@ -169,20 +179,18 @@ def sample(docs: DataFrame, labels: DataFrame, max_rows: int, id_col: str = "doc
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_features: int = 32_768, min_rows: float = 3, min_z: float = 3, penalty: float = 0.2, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade", lang_col: str = "lang") -> OrdinalModel:
     """Fit on the labelled rows of ``labels`` (id, grade); at most ``max_rows`` rows and ``max_features`` features reach the driver."""
-    from vellumine.llm._shared import cut
-
     spark = docs.sparkSession
     chosen = sample(docs, labels, max_rows, id_col, grade_col, lang_col)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = texts.join(F.broadcast(chosen), "id").select("grade", "lang", "share", "text").mapInArrow(_sampled, _SAMPLED)  # max_rows bounds what is broadcast
+    rows = texts.join(F.broadcast(chosen), "id").select("grade", "lang", "share", "text").mapInArrow(frugal(_sampled), _SAMPLED)  # max_rows bounds what is broadcast
     rows = cut(rows, "toxicity-sample")
     sizes = rows.groupBy("bucket").agg((1 / F.count("*")).alias("weight"))
-    rows = rows.join(sizes, "bucket")
+    rows = rows.join(F.broadcast(sizes), "bucket")  # max_rows bounds these as well
     hit = F.when(F.col("grade") > 0, F.col("weight")).otherwise(0.0)
     totals = rows.groupBy("lang").agg(F.sum("weight").alias("n"), F.sum(hit).alias("k"), F.max("grade").alias("most")).collect()
     if not sum(r.k for r in totals):
         return OrdinalModel({}, [])
-    rates = spark.createDataFrame([(r.lang, min(max(r.k / r.n, 1e-4), 1 - 1e-4)) for r in totals], "lang string, rate double")
+    rates = local_table(spark, [(r.lang, min(max(r.k / r.n, 1e-4), 1 - 1e-4)) for r in totals], "lang string, rate double")
     stats = rows.select("lang", F.explode("features").alias("feature"), "weight", hit.alias("hit")).groupBy("feature", "lang").agg(F.sum("weight").alias("n"), F.sum("hit").alias("k"))
     stats = stats.join(F.broadcast(rates), "lang").withColumn("excess", F.col("k") - F.col("n") * F.col("rate")).withColumn("spread", F.col("n") * F.col("rate") * (1 - F.col("rate")))
     enough = F.col("n") >= min_rows - 1e-9
@@ -193,13 +201,18 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_features
     best = stats.select("feature", F.greatest("own", "over_all").alias("z")).where(F.col("z") >= min_z).orderBy(F.desc("z"), "feature").limit(max_features).collect()
     vocabulary = {r.feature: i for i, r in enumerate(best)}
 
-    def known(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = [[(vocabulary[f], v) for f, v in zip(*x, strict=True) if f in vocabulary] for x in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            columns = (pa.array([[c for c, _ in p] for p in pairs], pa.list_(pa.int32())), pa.array([[v for _, v in p] for p in pairs], pa.list_(pa.float64())))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], ["grade", "weight", "columns", "amounts"])
+    sent = spark.sparkContext.broadcast(vocabulary)  # max_features bounds it
 
-    data = rows.select("grade", F.col("weight") / F.col("share"), "features", "amounts").mapInArrow(known, "grade int, weight double, columns array<int>, amounts array<double>").toArrow().to_pydict()
+    def known(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = sent.value
+        for whole in batches:
+            for at in range(0, whole.num_rows, 100):
+                batch = whole.slice(at, 100)
+                pairs = [[(numbers[f], v) for f, v in zip(*x, strict=True) if f in numbers] for x in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+                columns = (pa.array([[c for c, _ in p] for p in pairs], pa.list_(pa.int32())), pa.array([[v for _, v in p] for p in pairs], pa.list_(pa.float64())))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], ["grade", "weight", "columns", "amounts"])
+
+    data = rows.select("grade", F.col("weight") / F.col("share"), "features", "amounts").mapInArrow(frugal(known), "grade int, weight double, columns array<int>, amounts array<double>").toArrow().to_pydict()
     order = sorted(range(len(data["grade"])), key=lambda k: (data["grade"][k], data["weight"][k], data["columns"][k], data["amounts"][k]))
     matrix = [list(zip(data["columns"][k], data["amounts"][k], strict=True)) for k in order]
     y, weight = (np.array([data[c][k] for k in order]) for c in ("grade", "weight"))
@@ -211,8 +224,8 @@ def severity(model: OrdinalModel, text: Column) -> Column:
     """Expected grade of a text column."""
 
     @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.scores(texts), dtype="float64")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from frugal(lambda found: (pd.Series(model.scores(texts), dtype="float64") for texts in found))(batches)
 
     return score(F.coalesce(text, F.lit("")))
 
@@ -225,5 +238,5 @@ def rate_documents(docs: DataFrame, model: OrdinalModel, reject_at: float = 0.5,
 
 def keep_civil(docs: DataFrame, model: OrdinalModel, reject_at: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows whose expected severity stays below ``reject_at``, columns unchanged."""
-    columns = docs.columns
-    return docs.withColumn("_severity", severity(model, F.col(text_col))).where(F.col("_severity") < reject_at).select(*columns)
+    rated = free_name(docs.columns, "severity")
+    return docs.withColumn(rated, severity(model, F.col(text_col))).where(F.col(rated) < reject_at).drop(rated)
