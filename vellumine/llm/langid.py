@@ -12,7 +12,10 @@ The posterior of a language is the product of
 Defined results: null or letterless text gives no text evidence; a declaration
 that is null or no known language gives none; a null host has the prior of all
 pages; among equal posteriors the first language in alphabetical order holds;
-without labelled rows the language is null, and no row is rejected.
+without labelled rows the language is null, and no row is rejected; repeated
+rows are answered each; an empty table gives no rows; extra columns are ignored
+by ``identify_pages`` and kept by ``keep_identified``, whatever their names.  A
+very long text is read whole, in time that grows with its length.
 """
 
 from __future__ import annotations
@@ -28,16 +31,31 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vellumine.llm._shared import cut, frugal, together
+
 SLOTS = 1 << 16
 #: Trigrams that a text counts for at most, chance that a declaration is wrong, and rows that a parent's prior weighs.
 EVIDENCE, DOUBT, SMOOTH = 60, 0.1, 5.0
 
-_dropped = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
+_opened = re.compile(r"<!--|<(script|style)\b|<", re.IGNORECASE)
+_closed = {"script": re.compile(r"</script\s*>", re.IGNORECASE), "style": re.compile(r"</style\s*>", re.IGNORECASE), "!--": re.compile("-->"), "": re.compile(">")}
 
 
 def visible_text(markup: str) -> str:
-    """Text between tags, without scripts, styles and comments."""
-    return html.unescape(_dropped.sub(" ", markup))
+    """Text between tags, without scripts, styles and comments; what is opened and never closed stays, but for its tag."""
+    out, at, look, unclosed = [], 0, 0, set()
+    while m := _opened.search(markup, look):
+        kinds = ("!--", "") if m[0] == "<!--" else ((m[1] or "").lower(), "")
+        for kind in dict.fromkeys(kinds):
+            end = None if kind in unclosed else _closed[kind].search(markup, m.end() if kind else m.start() + 1)
+            if end:
+                out += [markup[at : m.start()], " "]
+                at = look = end.end()
+                break
+            unclosed.add(kind)  # nor is it closed further on
+        else:
+            look = m.end()
+    return html.unescape("".join([*out, markup[at:]]))
 
 
 def _slots(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -93,7 +111,7 @@ def fit(docs: DataFrame, max_rows: int = 20_000, id_col: str = "doc_id", text_co
             at = np.flatnonzero(c)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at, pa.int32()), pa.array(c[at])], ["lang", "slot", "n"])
 
-    found = rows.select("lang", "text").mapInArrow(count, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow().to_pandas()
+    found = rows.select("lang", "text").mapInArrow(frugal(count), "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     languages = sorted(found["lang"].unique())
     counts = np.zeros((len(languages), SLOTS))
     for k, lang in enumerate(languages):
@@ -111,7 +129,8 @@ def host_of(url: Column) -> Column:
 
 def declared_in(markup: Column) -> Column:
     """Primary language subtag of the html tag's lang attribute."""
-    return F.lower(F.regexp_extract(markup, r"""(?i)<html\b[^>]*?\blang\s*=\s*["']?([A-Za-z]+)""", 1))
+    tag = F.regexp_extract(markup, r"(?i)<html\b[^>]*+", 0)
+    return F.lower(F.regexp_extract(tag, r"""(?i)\blang\s*+=\s*+["']?([A-Za-z]+)""", 1))
 
 
 def _argmax(values: list[Column], languages: list[str]) -> Column:
@@ -120,30 +139,32 @@ def _argmax(values: list[Column], languages: list[str]) -> Column:
 
 
 def identify(rows: DataFrame, model: LanguageModel, text_col: str, declared_col: str, host_col: str, markup: bool = False, keep_rows: bool = False) -> DataFrame:
-    """``rows`` with ``_lang, _posterior, _text_lang, _declared, _host``.
+    """``row`` (the columns of ``rows``) with ``_lang, _posterior, _text_lang, _declared, _host``.
 
-    ``keep_rows`` false drops the text and writes the evidence once to the
-    shared folder; true keeps wide rows and reads the texts twice instead.
+    ``keep_rows`` false drops the text from ``row`` and writes the evidence once
+    to the shared folder; true keeps wide rows and reads the texts twice
+    instead, which costs less than writing them.
     """
-    from vellumine.llm._shared import cut
-
     languages, declared, host = model.languages, F.col(declared_col), F.col(host_col)
+    row = F.struct(*[F.col(c) for c in rows.columns if keep_rows or c != text_col]).alias("row")
     if not languages:
         none = F.lit(None)
-        return rows.select("*", none.cast("string").alias("_lang"), none.cast("double").alias("_posterior"), none.cast("string").alias("_text_lang"), none.cast("string").alias("_declared"), host.alias("_host"))
+        return rows.select(row, none.cast("string").alias("_lang"), none.cast("double").alias("_posterior"), none.cast("string").alias("_text_lang"), none.cast("string").alias("_declared"), host.alias("_host"))
 
     @F.pandas_udf("array<double>")
-    def evidence(texts: pd.Series) -> pd.Series:
+    def evidence(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from frugal(lambda found: (rated(texts.tolist()) for texts in found))(batches)
+
+    def rated(texts: list[str]) -> pd.Series:
         out: list[np.ndarray] = []
-        for at in range(0, len(texts), 200):
-            some = texts.iloc[at : at + 200].tolist()
+        for some in together(texts, 1_000_000):
             out += list(model.log_likelihoods([visible_text(t) for t in some] if markup else some))
-        return pd.Series(out)
+        return pd.Series(out, dtype="object")
 
     known = F.when(declared.isin(languages), declared)
-    marked = rows.select("*", evidence(F.coalesce(F.col(text_col), F.lit(""))).alias("_ll"), known.alias("_declared"), host.alias("_host"))
+    marked = rows.select(row, evidence(F.coalesce(F.col(text_col), F.lit(""))).alias("_ll"), known.alias("_declared"), host.alias("_host"))
     if not keep_rows:
-        marked = cut(marked.drop(text_col), "language-evidence")
+        marked = cut(marked, "language-evidence")
     right, wrong = float(np.log(1 - DOUBT)), float(np.log(DOUBT / max(1, len(languages) - 1)))
     said = [F.when(F.col("_declared").isNull(), 0.0).when(F.col("_declared") == x, right).otherwise(wrong) for x in languages]
     own = [F.col("_ll")[k] + said[k] for k in range(len(languages))]
@@ -181,14 +202,14 @@ def identify(rows: DataFrame, model: LanguageModel, text_col: str, declared_col:
     posterior = 1 / F.aggregate("_scores", F.lit(0.0), lambda a, x: a + F.exp(x - most))
     spoken = F.exists("_ll", lambda x: x != 0)
     text_lang = F.when(spoken, _argmax([F.col("_ll")[k] for k in range(len(languages))], languages))
-    return scored.select(*[c for c in marked.columns if c not in ("_ll", "_declared", "_host")], _argmax(s, languages).alias("_lang"), posterior.alias("_posterior"), text_lang.alias("_text_lang"), "_declared", "_host")
+    return scored.select("row", _argmax(s, languages).alias("_lang"), posterior.alias("_posterior"), text_lang.alias("_text_lang"), "_declared", "_host")
 
 
 def identify_pages(pages: DataFrame, model: LanguageModel) -> DataFrame:
     """``page_id, lang, posterior, text_lang, declared_lang, host`` of every page."""
     rows = pages.select("page_id", F.col("html").alias("_html"), declared_in(F.col("html")).alias("_said"), host_of(F.col("url")).alias("_where"))
     found = identify(rows, model, "_html", "_said", "_where", markup=True)
-    return found.select("page_id", F.col("_lang").alias("lang"), F.col("_posterior").alias("posterior"), F.col("_text_lang").alias("text_lang"), F.col("_declared").alias("declared_lang"), F.col("_host").alias("host"))
+    return found.select("row.page_id", F.col("_lang").alias("lang"), F.col("_posterior").alias("posterior"), F.col("_text_lang").alias("text_lang"), F.col("_declared").alias("declared_lang"), F.col("_host").alias("host"))
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, sure: float = 0.9, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
@@ -197,9 +218,8 @@ def keep_identified(docs: DataFrame, model: LanguageModel, sure: float = 0.9, te
     Rejected are texts without a letter, and those whose posterior gives
     another language than the declared one at least ``sure``.
     """
-    columns = docs.columns
     if not model.languages:
         return docs
     found = identify(docs, model, text_col, lang_col, source_col, keep_rows=True)
     wrong = F.col("_declared").isNotNull() & (F.col("_lang") != F.col("_declared")) & (F.col("_posterior") >= sure)
-    return found.where(F.col("_text_lang").isNotNull() & ~wrong).select(*columns)
+    return found.where(F.col("_text_lang").isNotNull() & ~wrong).select("row.*")
