@@ -10,9 +10,16 @@ segments in the order of their numbers, verifies that none is missing and that
 the total length is right, and decodes the chunked framing.  A record that
 fails a check comes back with ``complete`` false and without payload figures.
 
+A response that others may refer to is named by its page id and payload digest,
+so a revisit names the record that holds its payload; the digest and length of
+a revisit are those of that record, and have to agree with its own head.
+
 Defined results: a null html is an empty payload; a null page id stays null
-and never is what others refer to; repeated rows each get a record; an empty
-table gives no files and no rows.
+and never is what others refer to; repeated rows each get a record (their
+names go on with a part of their own, and references give what is common); an
+empty table gives no files and no rows; extra columns are ignored, whatever
+their names.  A very long page is written in segments, and is whole in memory
+when it is written and when its segments are put together.
 """
 
 from __future__ import annotations
@@ -27,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellumine.llm._shared import cut, new_dir, open_fs
+from vellumine.llm._shared import cut, frugal, new_dir, open_fs
 
 #: Smaller payloads are always stored.
 LEAST = 100
@@ -112,14 +119,16 @@ def write_warc(pages: DataFrame, out_dir: str, segment_bytes: int = 1 << 20, fil
                 done.append(files.pop(kind))
 
         for batch in batches:
-            for page_id, url, payload, digest, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                record_id = f"<{_PREFIX}{'' if page_id is None else page_id}:{uuid.uuid4().hex}>"
+            for page_id, url, payload, digest, first, same in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                revisit = first is not None and first != page_id and len(payload) >= LEAST
+                named = page_id is not None and not revisit and same in (None, 1) and len(payload) >= LEAST
+                record_id = _record_id(page_id, digest) if named else f"{_record_id('' if page_id is None else page_id, digest)[:-1]}:{uuid.uuid4().hex}>"
                 head = {"WARC-Type": "response", "WARC-Record-ID": record_id, "WARC-Date": date, "WARC-Target-URI": _line(url), "WARC-Payload-Digest": f"sha256:{digest}", "Content-Type": "application/http;msgtype=response"}
                 if url is None:
                     del head["WARC-Target-URI"]
                 http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
-                if first is not None and first != page_id:
-                    head |= {"WARC-Type": "revisit", "WARC-Profile": _PROFILE, "WARC-Refers-To": f"<{_PREFIX}{first}>"}
+                if revisit:
+                    head |= {"WARC-Type": "revisit", "WARC-Profile": _PROFILE, "WARC-Refers-To": _record_id(first, digest)}
                     put("main", head, http + b"Content-Length: %d\r\n\r\n" % len(payload))
                     continue
                 block = http + b"Transfer-Encoding: chunked\r\n\r\n" + chunked(payload)
@@ -142,8 +151,15 @@ def write_warc(pages: DataFrame, out_dir: str, segment_bytes: int = 1 << 20, fil
     payload = F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
-    first = rows.where(F.octet_length("payload") >= LEAST).groupBy("digest").agg(F.min("page_id").alias("first"))
-    rows.join(first, "digest", "left").select("page_id", "url", "payload", "digest", "first").mapInArrow(write, FILES).write.parquet(f"{out_dir}/files")
+    # Decided on digests and ids alone; only digests that occur again are looked up.
+    same = rows.groupBy("digest", "page_id").agg(F.count("*").alias("rows"))
+    first = same.groupBy("digest").agg(F.min("page_id").alias("first"), F.min_by("rows", "page_id").alias("same"), F.sum("rows").alias("copies"))
+    first = cut(first.where("copies > 1").select("digest", "first", "same"), "warc-copies")
+    rows.join(first, "digest", "left").select("page_id", "url", "payload", "digest", "first", "same").mapInArrow(frugal(write), FILES).write.parquet(f"{out_dir}/files")
+
+
+def _record_id(page_id: int | str, digest: str) -> str:
+    return f"<{_PREFIX}{page_id}:{digest[:32]}>"
 
 
 def parse(data: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -236,7 +252,7 @@ def read_warc(spark: SparkSession, out_dir: str, payloads: bool = True) -> DataF
     n_files = paths.count()
     if not n_files:
         return spark.createDataFrame([], RECORDS)
-    parsed = cut(paths.repartition(n_files, "path").mapInArrow(read, PARSED), "warc-parsed")
+    parsed = cut(paths.repartitionByRange(n_files, "path").mapInArrow(frugal(read), PARSED), "warc-parsed")
     whole = parsed.where(F.col("segment").isNull()).select("page_id", "url", "warc_type", "refers_to", "complete", "payload_bytes", "payload_digest", F.col("block").alias("payload"))
 
     def reassemble(group: pd.DataFrame) -> pd.DataFrame:
@@ -256,8 +272,21 @@ def read_warc(spark: SparkSession, out_dir: str, payloads: bool = True) -> DataF
     return whole.unionByName(segments.groupBy("origin_id").applyInPandas(reassemble, RECORDS))
 
 
+def resolved(records: DataFrame) -> DataFrame:
+    """Records whose revisits have the figures of the responses that they refer to; a record that is damaged, or refers to nothing, is an error."""
+    records = records.drop("payload")
+    damaged = F.raise_error(F.concat(F.lit("damaged or dangling record of page "), F.coalesce(F.col("page_id").cast("string"), F.lit("?"))))
+    stored = cut(records.where("warc_type = 'response' AND page_id IS NOT NULL").select(F.col("page_id").alias("of"), F.col("payload_digest").alias("its"), F.col("payload_bytes").alias("size")).distinct(), "warc-responses")
+    again = records.where("warc_type = 'revisit'")
+    again = again.join(stored, (again["refers_to"] == stored["of"]) & (again["payload_digest"] == stored["its"]), "left")
+    agrees = F.col("complete") & F.col("size").isNotNull() & (F.col("size") == F.col("payload_bytes"))
+    again = again.withColumn("payload_bytes", F.when(agrees, F.col("size")).otherwise(damaged.cast("long"))).drop("of", "its", "size")
+    whole = records.where("warc_type <> 'revisit'").withColumn("payload_bytes", F.when(F.col("complete"), F.col("payload_bytes")).otherwise(damaged.cast("long")))
+    return whole.unionByName(again)
+
+
 def round_trip(pages: DataFrame, segment_bytes: int = 1 << 14) -> DataFrame:
     """Write ``pages`` to a fresh shared folder and return what the archives hold, without payloads."""
     out_dir = new_dir(pages.sparkSession, "warc")
     write_warc(pages, out_dir, segment_bytes=segment_bytes)
-    return read_warc(pages.sparkSession, out_dir, payloads=False)
+    return resolved(cut(read_warc(pages.sparkSession, out_dir, payloads=False), "warc-records"))
