@@ -19,7 +19,12 @@ task more than its ``CELLS`` cells or one block.
 
 Defined results: a null source is a source; a null or empty text has no
 tokens, is read with its block, and a source without tokens has weight 0 and
-gives no rows; repeated rows are read each; an empty table gives no rows.
+gives no rows; repeated rows are read each, and rows with one id follow each
+other in an order that their content determines; rows without an id are dealt
+to cells by their content; an empty table gives no rows; extra columns are
+kept, whatever their names: a new column whose name is taken gets underscores
+behind it.  A very long text is a row like others; a text that would pass the
+end of its source's stream is left out.
 """
 
 from __future__ import annotations
@@ -28,9 +33,12 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Hash cells of a source; blocks are ranges of cells.
-CELLS = 16_384
+from vellumine.llm._shared import cut, free_name, local_table
+
+#: Hash cells of a source; blocks are ranges of cells.  A source of more than CELLS * block_tokens tokens has larger blocks.
+CELLS = 1 << 18
 #: Up to so many sources, their table is sent to every task; larger ones are joined cell by cell.
 MAX_SOURCES = 100_000
 
@@ -84,54 +92,71 @@ def exponent_for(tokens: list[int], budget: float | None, target_entropy: float
     return high
 
 
-def mix(docs: DataFrame, budget: float | None = None, target_entropy: float | None = None, max_repeats: float | None = None, block_tokens: int = 1 << 16, seed: int = 0, id_col: str = "doc_id", source_col: str = "source", n_tokens: Column | None = None) -> DataFrame:
+ADDED = ("_epoch", "_n_tokens", "_start", "_position")
+
+
+def _unhashable(kind: T.DataType) -> bool:
+    """Whether the type holds a map or a variant, which Spark does not hash."""
+    if isinstance(kind, T.StructType):
+        return any(_unhashable(f.dataType) for f in kind.fields)
+    return _unhashable(kind.elementType) if isinstance(kind, T.ArrayType) else isinstance(kind, (T.MapType, T.VariantType))
+
+
+def mix(docs: DataFrame, budget: float | None = None, target_entropy: float | None = None, max_repeats: float | None = None, block_tokens: int = 1 << 16, seed: int = 0, id_col: str = "doc_id", source_col: str = "source", n_tokens: Column | None = None, whole_corpus: bool = False) -> DataFrame:
     """The rows of ``docs``, once for each time they are read, with ``_epoch, _n_tokens, _start, _position``.
 
-    ``budget`` is the number of tokens of the whole mixture; without one, it is
-    the least under which every source is read at least once.  ``_start`` is
-    the number of tokens before the copy in its source's stream.
+    ``budget`` is the number of tokens of the whole mixture, or that of all
+    ``docs`` with ``whole_corpus``; without either, it is the least under which
+    every source is read at least once.  ``_start`` is the number of tokens
+    before the copy in its source's stream.
     """
     spark = docs.sparkSession
-    cell = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(CELLS)).cast("int")
-    docs = docs.withColumn("_n_tokens", (words(F.col("text")) if n_tokens is None else n_tokens).cast("long"))
-    docs = docs.withColumn("_source", F.col(source_col).cast("string")).withColumn("_cell", cell)
-    from vellumine.llm._shared import cut
-
-    cells = cut(docs.groupBy("_source", "_cell").agg(F.sum("_n_tokens").alias("tokens")), "mixing-cells")
-    table = cells.groupBy("_source").agg(F.sum("tokens").alias("_tokens"))
-    table = cut(table, "mixing-sources")
-    sizes = table.groupBy("_tokens").count().orderBy("_tokens").collect()
-    tokens, counts = [r["_tokens"] for r in sizes], [r["count"] for r in sizes]
+    content = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema.fields if not _unhashable(f.dataType)])
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        F.col(id_col).alias("id"),
+        content.alias("content"),
+        F.col(source_col).cast("string").alias("source"),
+        F.pmod(F.xxhash64(F.lit(seed), F.when(F.col(id_col).isNull(), content), F.col(id_col)), F.lit(CELLS)).cast("int").alias("cell"),
+        (words(F.col("text")) if n_tokens is None else n_tokens).cast("long").alias("n"),
+    )
+    cells = cut(rows.groupBy("source", "cell").agg(F.sum("n").alias("tokens")), "mixing-cells")
+    table = cut(cells.groupBy("source").agg(F.sum("tokens").alias("total")), "mixing-sources")
+    sizes = table.groupBy("total").count().orderBy("total").collect()
+    tokens, counts = [r["total"] or 0 for r in sizes], [r["count"] for r in sizes]
+    if whole_corpus:
+        budget = float(sum(t * n for t, n in zip(tokens, counts, strict=True)))
     w = weights(tokens, exponent_for(tokens, budget, target_entropy, max_repeats, counts), counts)
     passes = repeats(tokens, w, budget)
     # Passes within rounding of a whole number are that number.
     passes = [float(round(p)) if abs(p - round(p)) < 1e-9 else p for p in passes]
     plan = [(t, math.floor(p), int((p - math.floor(p)) * t), p * t, min(CELLS, max(1, -(-t // block_tokens)))) for t, p in zip(tokens, passes, strict=True) if p > 0]
-    plan = spark.createDataFrame(plan, "_tokens long, _whole int, _rest long, _length double, _blocks int")
-    sources = cut(table.join(plan, "_tokens").select("_source", "_tokens", "_whole", "_rest", "_length", "_blocks"), "mixing-plan")
+    plan = local_table(spark, plan, "total long, whole int, rest long, length double, blocks int")
+    sources = cut(table.join(plan, "total").select("source", "total", "whole", "rest", "length", "blocks"), "mixing-plan")
     few = sum(counts) <= MAX_SOURCES
     sent = F.broadcast if few else lambda df: df
 
-    block = F.floor(F.col("_cell") * F.col("_blocks") / CELLS).cast("int").alias("_block")
-    sized = cells.join(sent(sources), cells["_source"].eqNullSafe(sources["_source"])).select(sources["*"], "_cell", block, "tokens")
-    blocks = sized.groupBy(*sources.columns, "_block").agg(F.sum("tokens").alias("tokens"))
-    epochs = F.explode(F.sequence(F.lit(0), F.when(F.col("_rest") > 0, F.col("_whole")).otherwise(F.col("_whole") - 1)))
-    copies = blocks.where((F.col("_whole") > 0) | (F.col("_rest") > 0)).withColumn("_epoch", epochs)
-    order = Window.partitionBy("_source", "_epoch").orderBy(F.xxhash64(F.lit(seed), F.col("_epoch"), F.col("_source"), F.col("_block")), "_block")
-    copies = copies.withColumn("_before", F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("tokens"))
-    limit = F.when(F.col("_epoch") < F.col("_whole"), F.col("_tokens")).otherwise(F.col("_rest"))
-    copies = copies.withColumn("_limit", limit).where(F.col("_before") < F.col("_limit"))
-    copies = copies.select(F.col("_source").alias("_s"), F.col("_block").alias("_b"), "_epoch", "_tokens", "_before", "_limit", "_length")
+    block = F.floor(F.col("cell") * F.col("blocks") / CELLS).cast("int").alias("block")
+    sized = cells.join(sent(sources), cells["source"].eqNullSafe(sources["source"])).select(sources["*"], "cell", block, "tokens")
+    blocks = sized.groupBy(*sources.columns, "block").agg(F.sum("tokens").alias("tokens"))
+    epochs = F.explode(F.sequence(F.lit(0), F.when(F.col("rest") > 0, F.col("whole")).otherwise(F.col("whole") - 1)))
+    copies = blocks.where((F.col("whole") > 0) | (F.col("rest") > 0)).withColumn("epoch", epochs)
+    order = Window.partitionBy("source", "epoch").orderBy(F.xxhash64(F.lit(seed), F.col("epoch"), F.col("source"), F.col("block")), "block")
+    copies = copies.withColumn("before", F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("tokens"))
+    limit = F.when(F.col("epoch") < F.col("whole"), F.col("total")).otherwise(F.col("rest"))
+    copies = copies.withColumn("limit", limit).where(F.col("before") < F.col("limit"))
+    copies = copies.select(F.col("source").alias("of"), F.col("block").alias("part"), "epoch", "total", "before", "limit", "length")
 
     if few:
-        per_source = sources.select(F.col("_source").alias("_t"), "_blocks")
-        placed = docs.join(F.broadcast(per_source), docs["_source"].eqNullSafe(F.col("_t"))).withColumn("_block", F.floor(F.col("_cell") * F.col("_blocks") / CELLS).cast("int"))
+        per_source = sources.select(F.col("source").alias("its"), "blocks")
+        placed = rows.join(F.broadcast(per_source), rows["source"].eqNullSafe(F.col("its"))).select(*rows.columns, block)
     else:  # by source and cell, so that a large source is dealt to many tasks
-        per_cell = sized.select(F.col("_source").alias("_t"), F.col("_cell").alias("_c"), "_block", "_blocks")
-        placed = docs.join(per_cell, docs["_source"].eqNullSafe(F.col("_t")) & (docs["_cell"] == F.col("_c"))).drop("_c")
-    read = placed.join(copies, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b")))
-    inside = Window.partitionBy("_source", "_block", "_epoch").orderBy(F.xxhash64(F.lit(seed), F.col("_epoch"), F.col(id_col)), F.col(id_col))
-    read = read.withColumn("_in_pass", F.col("_before") + F.sum("_n_tokens").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n_tokens"))
-    read = read.where(F.col("_in_pass") + F.col("_n_tokens") <= F.col("_limit"))
-    read = read.withColumn("_start", F.col("_epoch") * F.col("_tokens") + F.col("_in_pass")).withColumn("_position", (F.col("_start") + F.col("_n_tokens") / 2) / F.col("_length"))
-    return read.drop("_source", "_cell", "_t", "_s", "_b", "_block", "_blocks", "_tokens", "_before", "_limit", "_length", "_in_pass")
+        per_cell = sized.select(F.col("source").alias("its"), F.col("cell").alias("at"), "block")
+        placed = rows.join(per_cell, rows["source"].eqNullSafe(F.col("its")) & (rows["cell"] == F.col("at"))).select(*rows.columns, "block")
+    read = placed.join(copies, F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("part")))
+    inside = Window.partitionBy("source", "block", "epoch").orderBy(F.xxhash64(F.lit(seed), F.col("epoch"), F.col("id")), F.col("id"), "n", "content")
+    read = read.withColumn("in_pass", F.col("before") + F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n"))
+    read = read.where(F.col("in_pass") + F.col("n") <= F.col("limit")).withColumn("start", F.col("epoch") * F.col("total") + F.col("in_pass"))
+    position = (F.col("start") + F.col("n") / 2) / F.col("length")
+    new = [x.alias(free_name(docs.columns, name)) for name, x in zip(ADDED, (F.col("epoch"), F.col("n"), F.col("start"), position), strict=True)]
+    return read.select("row.*", *new)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellumine.llm import fingerprint, jaccard, langid, mixing, sentencepiece_fst, token_counts, token_files, topk, toxicity, warc
-from vellumine.llm._shared import new_dir
+from vellumine.llm._shared import cut, new_dir
 
 #: Highest number of passes over a source in the mixture.
 MAX_REPEATS = 2.0
@@ -74,9 +74,8 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every reading of every document in a mixture of as many words as the corpus has."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text").withColumn("_words", mixing.words(F.col("text")))
-    total = docs.agg(F.sum("_words")).first()[0] or 0
-    mixed = mixing.mix(docs, budget=float(total), max_repeats=MAX_REPEATS, n_tokens=F.col("_words"))
+    docs = cut(_table(spark, sf_dir, "documents").select("doc_id", "source", mixing.words(F.col("text")).alias("words")), "mixing-words")
+    mixed = mixing.mix(docs, whole_corpus=True, max_repeats=MAX_REPEATS, n_tokens=F.col("words"))
     return mixed.select("doc_id", "source", F.col("_epoch").alias("epoch"), F.col("_n_tokens").alias("n_tokens"), F.col("_start").alias("start"), F.col("_position").alias("position"))
 
 
