@@ -78,7 +78,7 @@ def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
     return spark.createDataFrame(pa.Table.from_arrays(columns, names=kind.fieldNames()), kind)
 
 
-def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """From now on at most so many rows go to a Python worker at once: texts are long, and a batch stands in the JVM and in the worker."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(name)) > rows:

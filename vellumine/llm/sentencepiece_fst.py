@@ -47,6 +47,7 @@ import re
 import struct
 from array import array
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -61,10 +62,22 @@ UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: What a fallback arc weighs above the heaviest piece of a unigram model.
 PENALTY = 10.0
-#: Parts whose paths a worker remembers, and pairs of pieces, before it starts afresh.
-REMEMBERED, PAIRS = 250_000, 250_000
-#: Characters of text that are taken together.
-TOGETHER = 4_000_000
+
+
+@dataclass(frozen=True)
+class Bounds:
+    """Parts whose paths a worker remembers, and pairs of pieces, before it starts afresh; characters of text that are taken together."""
+
+    remembered: int = 250_000
+    pairs: int = 250_000
+    together: int = 4_000_000
+    #: Whether a worker keeps its transducer for its next task.
+    held: bool = True
+
+
+LARGE = Bounds()
+#: Where executors are small, or workers have other things to do as well.
+SMALL = Bounds(50_000, 50_000, 1_000_000, held=False)
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -181,7 +194,8 @@ class Normaliser:
 class _Merges:
     """Weights of a merge model's arcs: which pieces stay apart."""
 
-    def __init__(self, scores: dict[str, float]):
+    def __init__(self, scores: dict[str, float], most: int):
+        self.most = most
         self.marks = {len(p) for p in scores if not p.strip(MARK)}
         # Runs of marks have one score; among equal scores the leftmost pair merges first, so a longer run comes later.
         self.rank = {p: (-s, len(p) if not p.strip(MARK) else 0) for p, s in scores.items() if len(p) > 1}
@@ -228,7 +242,7 @@ class _Merges:
 
     def finite(self, before: str, piece: str) -> bool:
         """Whether the arc that reads ``piece`` in the state of ``before`` (empty at the start) weighs 0; remembered."""
-        if self.known > PAIRS:
+        if self.known > self.most:
             self.rows, self.known = {"": {}}, 0
         self.known += 1
         found = self.made(piece) and (not before or self._apart(before, piece))
@@ -239,7 +253,8 @@ class _Merges:
 class PieceTransducer:
     """A compiled model; ``encode`` and ``decode`` of single texts, ``many`` for batches."""
 
-    def __init__(self, model: bytes, remembered: int = REMEMBERED):
+    def __init__(self, model: bytes, bounds: Bounds = LARGE):
+        self.bounds = bounds
         pieces, trainer, normaliser = [], {}, {}
         for number, value in _fields(model):
             if number == 1:
@@ -268,7 +283,7 @@ class PieceTransducer:
         self.cuttable = re.compile(" (?<![^A-Za-z0-9] )") if rules.units else None  # other characters may turn into blanks
 
         # The piece transducer, read backwards: a node has the nodes below it, the piece that begins there, and its weight.
-        self.merges = _Merges(scores) if kind == BPE else None
+        self.merges = _Merges(scores, bounds.pairs) if kind == BPE else None
         self.frozen = self.normaliser.kept if kind == BPE else None
         weights = {p: 0.0 if self.merges else -s for p, s in scores.items()}
         if not self.merges:
@@ -286,7 +301,7 @@ class PieceTransducer:
         self.byte_ids = [struct.pack("<I", byte_ids[b]) for b in range(256)] if len(byte_ids) == 256 else None
         self.unknown_id = struct.pack("<I", self.unknown)
         self.inside = {p[k : k + 2] for p in (*scores, *users) for k in range(len(p) - 1)}
-        self.paths, self.normal = Memory(remembered), Memory(remembered)
+        self.paths, self.normal = Memory(bounds.remembered), Memory(bounds.remembered)
 
     def compose(self, stretches: Iterable[str]) -> Iterator[tuple[str, list[str]]]:
         """Each stretch of normal characters, in alphabetical order, and what the arcs of its lightest path read.
@@ -424,7 +439,7 @@ class PieceTransducer:
         out = []
         gc.disable()  # no cycles arise here, and millions of strings would be visited in vain
         try:
-            for some in together(texts, TOGETHER):
+            for some in together(texts, self.bounds.together):
                 parts = [self.parts(x) for x in some]
                 self._learn(self.paths.lacks(set().union(*parts)))
                 get = self.paths.now.__getitem__
@@ -459,37 +474,40 @@ class PieceTransducer:
         return text[1:] if self.dummy and text[:1] == " " else text
 
 
-_held: dict[tuple[str, int], PieceTransducer] = {}
+_held: dict[tuple[str, Bounds], PieceTransducer] = {}
 
 
-def held(path: str, remembered: int = REMEMBERED) -> PieceTransducer:
-    """The worker's own transducer, compiled once."""
-    if (path, remembered) not in _held:
-        with open(path, "rb") as file:
-            _held[path, remembered] = PieceTransducer(file.read(), remembered)
-    return _held[path, remembered]
+def held(path: str, bounds: Bounds = LARGE) -> PieceTransducer:
+    """The transducer of a model file: the worker's own, compiled once, or one for this task alone."""
+    if (path, bounds) in _held:
+        return _held[path, bounds]
+    with open(path, "rb") as file:
+        made = PieceTransducer(file.read(), bounds)
+    if bounds.held:
+        _held[path, bounds] = made
+    return made
 
 
 ENCODED = "doc_id long, n_tokens long, ids array<int>"
 DECODED = ", decoded_chars long, decoded_sha256 string"
 
 
-def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", remembered: int = REMEMBERED) -> DataFrame:
-    """``doc_id, n_tokens, ids`` of every row; ``remembered`` bounds a worker's memory where executors are small."""
-    return _coded(docs, model_path, id_col, text_col, False, remembered)
+def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", bounds: Bounds = LARGE) -> DataFrame:
+    """``doc_id, n_tokens, ids`` of every row."""
+    return _coded(docs, model_path, id_col, text_col, False, bounds)
 
 
 def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids`` of every row, and length and SHA-256 of the text that its ids decode to."""
-    return _coded(docs, model_path, id_col, text_col, True, REMEMBERED)
+    return _coded(docs, model_path, id_col, text_col, True, LARGE)
 
 
-def _coded(docs: DataFrame, model_path: str, id_col: str, text_col: str, decoded: bool, remembered: int) -> DataFrame:
+def _coded(docs: DataFrame, model_path: str, id_col: str, text_col: str, decoded: bool, bounds: Bounds) -> DataFrame:
     @frugal
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        transducer = held(model_path, remembered)
+        transducer = held(model_path, bounds)
         for batch in batches:
-            for some in by_bytes(batch, 1, TOGETHER):
+            for some in by_bytes(batch, 1, bounds.together):
                 coded = transducer.many(some.column(1).to_pylist())
                 sizes = [len(x) // 4 for x in coded]
                 offsets = pa.array([0, *_running(sizes)], pa.int32())
@@ -505,6 +523,7 @@ def _coded(docs: DataFrame, model_path: str, id_col: str, text_col: str, decoded
                     names += ["decoded_chars", "decoded_sha256"]
                 yield pa.RecordBatch.from_arrays(columns, names)
         transducer.forget()
+        del transducer
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(run, ENCODED + DECODED if decoded else ENCODED)
 
