@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from vellumine import schemas
 from vellumine.functions import imaging, stats
-from vellumine.operators import layout, merge, ranges, reports, rules, validate
+from vellumine.operators import layout, merge, placement, ranges, reports, rules, validate
 from vellumine.streaming import incremental
 
 import numpy as np
@@ -49,11 +49,11 @@ def test_region_mapping(spark):
     content = "".join(f"<|ref|>{t}<|/ref|><|det|>[[{b}]]<|/det|>" for t, b in [("Hello there", "100,100,300,180"), ("Hello there", "600,700,800,780"), ("The quick brown", "100,400,300,420"), ("fox jumps", "100,425,300,445")])
     regions = [(1, k, i, "dialogue", t, "x", "saved_page_translation") for k, (i, t) in enumerate([("r1", "Hello there!"), ("r2", "Hello, there"), ("r3", "The quick brown fox jumps"), ("r4", "nothing like it")])]
     frame = spark.createDataFrame(regions, "page int, pos int, id string, type string, source_text string, final_translation string, translation_source string")
-    found = {r.id: r for r in layout.map_regions(frame, spark.createDataFrame([(1, content)], "page int, content string")).collect()}
+    found = {r.id: r for r in placement.map_regions(frame, spark.createDataFrame([(1, content)], "page int, content string")).collect()}
     assert found["r1"].placement_box == [100.0, 100.0, 300.0, 180.0] and found["r2"].placement_box == [600.0, 700.0, 800.0, 780.0]
     assert found["r3"].layout_item_indexes == [2, 3] and found["r3"].match_coverage == 1.0 and found["r3"].confidence == "high"
     assert found["r4"].confidence == "missing" and found["r4"].warnings == ["layout_not_found"]
-    assert reports.shared_items(layout.map_regions(frame, spark.createDataFrame([(1, None)], "page int, content string"))).count() == 0
+    assert reports.shared_items(placement.map_regions(frame, spark.createDataFrame([(1, None)], "page int, content string"))).count() == 0
 
 
 def test_components_match_search(spark):

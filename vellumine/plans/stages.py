@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from vellumine import schemas
 from vellumine.functions import text as T
 from vellumine.operators import book as B
-from vellumine.operators import layout, ranges, reports, validate
+from vellumine.operators import placement, ranges, reports, validate
 from vellumine.plans import config as C
 from vellumine.plans import providers, review
 from vellumine.plans.config import Artefacts, ConfigError
@@ -170,7 +170,7 @@ def finalize(run: Run, book: Artefacts) -> int:
         validate.strict(overrides, overrides.groupBy("page", "id").count().where("count > 1"), "repeated overrides")
         validate.strict(overrides, overrides.where("trim(final_translation) = ''"), "blank overrides")
     locked, counts = B.final_snapshot(regions, overrides)
-    mappings = layout.map_regions(locked.join(regions.select("page", "id", "pos"), ["page", "id"]), pages.select("page", "layout.content"))
+    mappings = placement.map_regions(locked.join(regions.select("page", "id", "pos"), ["page", "id"]), pages.select("page", "layout.content"))
     by_page, summary = B.placement_plan(mappings)
     print(json.dumps(counts.first().asDict(), ensure_ascii=False))
     if run.args.dry_run:

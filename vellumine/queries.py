@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from vellumine.functions import geometry as G
 from vellumine.functions import stats
 from vellumine.functions import text as T
-from vellumine.operators import answers, book, layout, merge, ranges, reports, rules, validate
+from vellumine.operators import answers, book, layout, merge, placement, ranges, reports, rules, validate
 from vellumine.plans.rules import WRITER
 from vellumine.sources import scans, sinks
 from vellumine.sources.scans import table
@@ -551,7 +551,7 @@ def region_mapping(spark: SparkSession, sf: str) -> DataFrame:
     content = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", piece.alias("t")))), lambda x: x["t"]), "\n")
     layouts = marked.groupBy("page").agg(content.alias("content")).select(F.col("page").cast("int").alias("page"), "content")
     regions = named.select(F.col("page").cast("int").alias("page"), F.col("id").alias("pos"), F.col("id").cast("string").alias("id"), F.lit("other").alias("type"), F.col("p_name").alias("source_text"), F.col("p_name").alias("final_translation"), F.lit("saved_page_translation").alias("translation_source"))
-    return layout.map_regions(regions, layouts)
+    return placement.map_regions(regions, layouts)
 
 
 # Model answers: JSON is built from the tables, read back by the operators.
