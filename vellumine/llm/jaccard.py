@@ -222,14 +222,16 @@ def _whole(passed, size: int):
     return run
 
 
-def _bucketed(df: DataFrame, by: str, name: str) -> DataFrame:
-    """Like ``cut``, in buckets: joins on ``by`` do not move these rows."""
+def _bucketed(df: DataFrame, by: str, name: str) -> tuple[DataFrame, str]:
+    """Like ``cut``, in buckets: joins on ``by`` do not move these rows.  The catalog holds the table under the name that is returned."""
     spark = df.sparkSession
     uri = new_dir(spark, name)
     table = uri.rpartition("/")[2].replace("-", "_")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.repartition(n, by).write.bucketBy(n, by).sortBy(by).option("path", uri).saveAsTable(table)  # a file for each bucket
-    return spark.table(table)
+    # A file for each bucket.  Hashes don't compress, and a row can be large: pages are measured after every row.
+    plain = {"path": uri, "compression": "none", "parquet.enable.dictionary": "false", "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "50"}
+    df.repartition(n, by).write.bucketBy(n, by).sortBy(by).options(**plain).saveAsTable(table)
+    return spark.table(table), table
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -305,7 +307,7 @@ def link_documents(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", t
     bits, n_bits = _filter(able)
     passed = spark.sparkContext.broadcast(bits)
     sets = named.mapInArrow(frugal(_whole(passed, n_bits)), "rep long, tokens array<long>")
-    sets = _bucketed(sets.join(able, "rep", "left_semi"), "rep", "jaccard-sets")
+    sets, in_catalog = _bucketed(sets.join(able, "rep", "left_semi"), "rep", "jaccard-sets")
     matrix = cut(matrix.join(able, "rep", "left_semi"), "jaccard-matrix")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -387,6 +389,7 @@ def link_documents(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", t
         more = cut(verified(pairs.join(witnesses, ["a", "b"], "left_anti")), "jaccard-links")
         labels = components(links.unionByName(more))
 
+    spark.sql(f"DROP TABLE IF EXISTS `{in_catalog}`")  # all pairs are verified by now
     named_classes = cut(classes.join(labels, "rep", "left").select("digest", F.coalesce("label", "rep").alias("component")), "jaccard-named")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     out = rows_of(classed).join(named_classes, "digest", "left")
