@@ -68,6 +68,16 @@ def test_fingerprints_by_their_definition():
     assert len(a) // 257 >= 2 and fingerprint.likeness(a, b) == fingerprint.likeness(b, a) > 0.5 > fingerprint.likeness(a, fingerprint.fingerprints([texts[-2]])[0])
 
 
+def test_fingerprints_of_long_texts_are_those_of_whole_texts(monkeypatch):
+    rng = random.Random(2)
+    texts = ["a" * 3000, "ab" * 1000, " ".join(f"w{rng.randrange(10**6)}" for _ in range(900)), "x" * 900 + " ".join(rng.choices(["alpha", "beta", "été"], k=700)), "short"]
+    whole = fingerprint.fingerprints(texts)
+    for stretch in (64, 100, 777, 4096):
+        monkeypatch.setattr(fingerprint, "LONG", 500)
+        monkeypatch.setattr(fingerprint, "STRETCH", stretch)
+        assert fingerprint.fingerprints(texts) == whole
+
+
 def test_severity_by_its_definition(spark, sf):
     model = queries.toxicity_model(spark, sf)
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}

@@ -13,8 +13,13 @@ All counts are integers, so a text's fingerprint depends on the text alone.
 
 Defined results: a null text counts as empty; an empty text has the empty
 fingerprint, like only to itself; a text under 64 bytes is one feature, and a
-text without selected features keeps its leftmost rarest window; null ids sort first; rows with
-equal ids follow each other in the order of their texts.
+text without selected features keeps its leftmost rarest window; null ids sort
+first and are one stretch, so a table should name its rows; rows with equal ids
+follow each other in the order of their texts; an empty table gives no rows;
+extra columns are ignored, whatever their names.  A very long text is read in
+stretches; beside its bytes it takes the memory of one stretch and of its
+filters, and comparing two such texts takes time as the product of their
+numbers of filters.
 """
 
 from __future__ import annotations
@@ -39,6 +44,9 @@ TYPICAL, LEAST = 660, 100
 #: Part of the way from chance to the maximum that common bits must pass.
 PASSED = 0.3
 
+#: Longer texts, in bytes, are read in stretches of so many windows.
+LONG, STRETCH = 1 << 20, 1 << 18
+
 _FAR = np.int64(1) << 60
 _ENTRY = 1 + FILTER_BYTES
 _SCALE = 1 << 20
@@ -87,40 +95,82 @@ def _least(keys: np.ndarray) -> np.ndarray:
     return np.minimum(back[:n], ahead[w - 1 : w - 1 + n])
 
 
-def fingerprints(texts: list[str]) -> list[bytes]:
-    """Chains of filters: for each, its number of features and its bits."""
+def _hashes(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hashes of the windows that start at some bytes."""
+    hashes = np.empty(len(at), np.uint64)
+    view = np.lib.stride_tricks.sliding_window_view(x, WINDOW)
+    for k in range(0, len(at), 4096):
+        hashes[k : k + 4096] = (view[at[k : k + 4096]].astype(np.uint64) * _POWERS).sum(axis=1, dtype=np.uint64)
+    hashes ^= hashes >> np.uint64(33)
+    hashes *= np.uint64(0xFF51AFD7ED558CCD)
+    return hashes ^ (hashes >> np.uint64(33))
+
+
+def _selected(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Owner and hash of each selected window of some texts, in order."""
     pad = b"\0" * (WINDOW - 1)
-    raw = [t.encode() for t in texts]
     x = np.frombuffer(pad + b"".join(r.ljust(WINDOW, b"\0") + pad for r in raw if r) + pad, np.uint8)
     sizes = np.array([len(r) for r in raw], np.int64)
     padded = np.where(sizes > 0, np.maximum(sizes, WINDOW) + len(pad), 0)
     starts = len(pad) + np.concatenate(([0], np.cumsum(padded)))[:-1]
     windows = np.where(sizes > 0, np.maximum(sizes, WINDOW) - WINDOW + 1, 0)
-    out = [b""] * len(texts)
     if not windows.any():
-        return out
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
     ranks = _ranks(x)
-    owner = np.repeat(np.arange(len(texts)), windows)
+    owner = np.repeat(np.arange(len(raw)), windows)
     at = np.arange(len(owner)) + np.repeat(starts - np.concatenate(([0], np.cumsum(windows)))[:-1], windows)
     keys = np.full(len(ranks), _FAR, np.int64)
     keys[at] = (ranks[at].astype(np.int64) << 32) | at
     best = _least(keys)[at]
     points = np.bincount((best & 0xFFFFFFFF)[best < _FAR], minlength=len(ranks))[at]
     chosen = points >= POINTS
-    lacking = np.flatnonzero((windows > 0) & (np.bincount(owner[chosen], minlength=len(texts)) == 0))
+    lacking = np.flatnonzero((windows > 0) & (np.bincount(owner[chosen], minlength=len(raw)) == 0))
     if len(lacking):
         firsts = np.concatenate(([0], np.cumsum(windows)))
         for d in lacking:
             own = slice(firsts[d], firsts[d + 1])
             chosen[firsts[d] + int(np.argmin(ranks[at[own]]))] = True
-    owner, at = owner[chosen], at[chosen]
-    hashes = np.empty(len(at), np.uint64)
-    view = np.lib.stride_tricks.sliding_window_view(x, WINDOW)
-    for k in range(0, len(at), 4096):
-        hashes[k : k + 4096] = (view[at[k : k + 4096]].astype(np.uint64) * _POWERS).sum(axis=1, dtype=np.uint64)
-    hashes ^= hashes >> np.uint64(33)
-    hashes *= np.uint64(0xFF51AFD7ED558CCD)
-    hashes ^= hashes >> np.uint64(33)
+    return owner[chosen], _hashes(x, at[chosen])
+
+
+def _selected_of_long(raw: bytes) -> np.ndarray:
+    """Hashes of the selected windows of one long text, stretch by stretch.
+
+    A stretch is read with what its windows' neighbours need on both sides, so
+    the result is that of the whole text.
+    """
+    out, least = [], (int(_FAR), b"")
+    for begin in range(0, len(raw) - WINDOW + 1, STRETCH):
+        end = min(begin + STRETCH, len(raw) - WINDOW + 1)
+        first = max(0, begin - NEIGHBOURS + 1)
+        x = np.frombuffer(raw, np.uint8)[first : end + NEIGHBOURS + WINDOW - 2]
+        ranks = _ranks(x)
+        keys = np.where(ranks < _FAR >> 32, (ranks.astype(np.int64) << 32) | np.arange(len(ranks)), _FAR)
+        best = _least(keys)[: end - first]  # of the runs that begin before the stretch ends
+        points = np.bincount((best & 0xFFFFFFFF)[best < _FAR], minlength=len(ranks))
+        own = np.flatnonzero(points[begin - first : end - first] >= POINTS) + (begin - first)
+        out.append(_hashes(x, own))
+        k = begin - first + int(np.argmin(ranks[begin - first : end - first]))
+        if int(ranks[k]) < least[0]:
+            least = int(ranks[k]), x[k : k + WINDOW].tobytes()
+    found = np.concatenate(out)
+    return found if len(found) else _hashes(np.frombuffer(least[1], np.uint8), np.zeros(1, np.int64))
+
+
+def fingerprints(texts: list[str]) -> list[bytes]:
+    """Chains of filters: for each, its number of features and its bits."""
+    raw = [t.encode() for t in texts]
+    long = [d for d, r in enumerate(raw) if len(r) > LONG]
+    owner, hashes = _selected([b"" if len(r) > LONG else r for r in raw])
+    if long:
+        more = [_selected_of_long(raw[d]) for d in long]
+        owner = np.concatenate([owner, *(np.full(len(h), d) for d, h in zip(long, more, strict=True))])
+        hashes = np.concatenate([hashes, *more])
+        order = np.argsort(owner, kind="stable")
+        owner, hashes = owner[order], hashes[order]
+    out = [b""] * len(texts)
+    if not len(owner):
+        return out
     n = np.bincount(owner, minlength=len(texts))
     chains = -(-n // FEATURES)
     first = np.concatenate(([0], np.cumsum(chains)))
