@@ -282,7 +282,7 @@ def main(arguments: list[str] | None = None, root: Path | None = None, spark: Sp
         settings = RunSettings.load(path, root)
         if settings.pdf is None:
             raise ConfigError("the configuration names no PDF")
-        found = books(settings.pdf, args.output)
+        found = books(settings.pdf, (root / args.output).resolve())  # paths for Spark, whose working directory is another
         run = Run(spark or SparkSession.builder.getOrCreate(), root, settings, args, **plugins)
         with logged(args.log_file):
             for k, one in enumerate(found, 1):
