@@ -37,6 +37,9 @@ SLOTS = 1 << 16
 #: Trigrams that a text counts for at most, chance that a declaration is wrong, and rows that a parent's prior weighs.
 EVIDENCE, DOUBT, SMOOTH = 60, 0.1, 5.0
 
+#: Hosts whose priors, of about a hundred bytes each, are sent to every task; more are joined by host.
+HOSTS_SENT = 100_000
+
 _opened = re.compile(r"<!--|<(script|style)\b|<", re.IGNORECASE)
 _closed = {"script": re.compile(r"</script\s*>", re.IGNORECASE), "style": re.compile(r"</style\s*>", re.IGNORECASE), "!--": re.compile("-->"), "": re.compile(">")}
 
@@ -189,8 +192,11 @@ def identify(rows: DataFrame, model: LanguageModel, text_col: str, declared_col:
     columns = [F.col(c) for c in n]
     by_suffix = levels[1].select("_suffix", *[x.alias(c) for x, c in zip(smoothed(columns, prior), p, strict=True)])
     by_domain = levels[2].join(by_suffix, "_suffix").select("_domain", *[x.alias(c) for x, c in zip(smoothed(columns, [F.col(c) for c in p]), p, strict=True)])
-    by_host = hosts.join(by_domain, "_domain").select(F.col("_host").alias("_h"), *n, *p)
+    by_host = cut(hosts.join(by_domain, "_domain").select(F.col("_host").alias("_h"), *n, *p), "language-priors")
 
+    # Priors of few hosts are sent to the rows, whose texts then stay where they are.
+    if by_host.count() <= HOSTS_SENT:
+        by_host = F.broadcast(by_host)
     joined = first.join(by_host, F.col("_host") == F.col("_h"), "left")
     # A page's own vote does not count towards its prior.
     others = [F.coalesce(F.col(c) - F.when(F.col("_first") == x, 1).otherwise(0), F.lit(0)) for x, c in zip(languages, n, strict=True)]
