@@ -77,10 +77,17 @@ class Run:
     reviewer: review.Reviewer = review.stub
 
     def pages(self, book: Artefacts) -> DataFrame:
-        """Page records of a book, with the names they were read from."""
+        """Page records of a book."""
+        some(book.folder("read") / "pages", "page-*.json")
         return self.spark.read.schema(REGIONS).json(f"{book.folder('read')}/pages/page-*.json", multiLine=True)
 
 
+def some(folder: Path, pattern: str) -> None:
+    """Raises where a stage's input is not there."""
+    if not any(folder.glob(pattern)):
+        raise ConfigError(f"no {pattern} in {folder}")
+
+
 def regions_of(pages: DataFrame) -> DataFrame:
     rows = pages.select("page", F.posexplode("study.regions").alias("pos", "r"))
     return rows.select("page", "pos", "r.id", "r.type", "r.source_text", "r.translation")
@@ -158,6 +165,7 @@ def finalize(run: Run, book: Artefacts) -> int:
     pages = run.pages(book)
     content = spark.read.format("binaryFile").load(f"{book.folder('read')}/pages/page-*.json").select(F.regexp_extract("path", r"page-(\d+)\.json$", 1).cast("int").alias("page"), F.sha2("content", 256).alias("sha256"))
     records = pages.select("page", "mode", F.transform("study.regions", lambda r: r["id"]).alias("region_ids")).join(content, "page")
+    some(book.folder("review"), "*/page-*-codex-review.json")
     reviews = spark.read.schema(schemas.REVIEW).json(f"{book.folder('review')}/*/page-*-codex-review.json", multiLine=True)
     regions, aggregate = B.merged_reviews(tasks, records, regions_of(pages), reviews, review.digest(plan_path), run.settings.ignore_hash_validation)
     people = book.folder("overrides") / "translations.json"
@@ -189,6 +197,7 @@ def erase(run: Run, book: Artefacts) -> int:
     from vellumine.sources import png
 
     folder = book.folder("read") / "pages"
+    some(folder, "page-*.png")
     files = run.spark.read.format("binaryFile").load(f"{folder}/page-*.png")
     pictures = png.images(files).select(F.regexp_extract("path", r"page-(\d+)\.png$", 1).cast("int").alias("page"), "width", "height", "pixels", "alpha", "error")
     validate.strict(pictures, pictures.select("page", "error").where("error IS NOT NULL"), "pictures")
