@@ -30,6 +30,7 @@ from vellumine.plans import providers, review
 from vellumine.plans.config import Artefacts, ConfigError
 from vellumine.plans.settings import ReviewSettings, RunSettings, WriterSettings, discovered, enter
 from vellumine.sources import sinks
+from vellumine.sources.staging import staged
 
 STAGES = ("read", "review", "finalize", "erase", "write")
 REGIONS = "page int, mode string, layout struct<content:string>, study struct<regions:array<struct<id:string,type:string,source_text:string,translation:string>>>"
@@ -178,7 +179,8 @@ def finalize(run: Run, book: Artefacts) -> int:
         validate.strict(overrides, overrides.groupBy("page", "id").count().where("count > 1"), "repeated overrides")
         validate.strict(overrides, overrides.where("trim(final_translation) = ''"), "blank overrides")
     locked, counts = B.final_snapshot(regions, overrides)
-    mappings = placement.map_regions(locked.join(regions.select("page", "id", "pos"), ["page", "id"]), pages.select("page", "layout.content"))
+    locked = staged(locked, "locked")
+    mappings = staged(placement.map_regions(locked.join(regions.select("page", "id", "pos"), ["page", "id"]), pages.select("page", "layout.content")), "mappings")
     by_page, summary = B.placement_plan(mappings)
     print(json.dumps(counts.first().asDict(), ensure_ascii=False))
     if run.args.dry_run:
