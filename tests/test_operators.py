@@ -114,6 +114,9 @@ def test_streaming(spark, tmp_path):
 def test_statistics_and_erasure(spark):
     frame = spark.createDataFrame([("a", float(x)) for x in (1, 2, 3, 4, 100)], "g string, v double")
     assert stats.robust_thresholds(frame, ["g"], "v", 5.0).first().threshold == pytest.approx(3 + 4 * 1.4826)
+    # 0.1 and 0.5 are equally far from 0.3, but not in doubles.
+    frame = spark.createDataFrame([("a", x) for x in (0.1, *[0.3] * 7, 0.5, 9.0, 9.0)], "g string, v double")
+    assert stats.coherent_medians(frame, ["g"], "v", 0.7, 0.0).first().kept == 9
     image = np.full((40, 60, 3), 200, np.uint8)
     image[10:20, 10:40] = 0
     clean, painted, blocks, owner = imaging.erase_blocks(image, [[10, 10, 40, 20]], strategy="block")

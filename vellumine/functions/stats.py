@@ -14,12 +14,16 @@ def robust_thresholds(df: DataFrame, by: list[str], value: str, minimum: float,
     return away.withColumn("threshold", F.least(F.lit(cap), F.greatest(F.lit(minimum), limit)))
 
 
+# Fixed value: by how much an interpolated quantile may miss a distance that it stands for.
+SLACK = 1e-9
+
+
 def coherent_medians(df: DataFrame, by: list[str], value: str, share: float = 0.7, floor: float = 2.0) -> DataFrame:
     """Median of the values of each group that lie within the ``share`` quantile of distances to the median (or ``floor``)."""
     middle = df.groupBy(*by).agg(F.expr(f"percentile({value}, 0.5)").alias("_m"))
     near = df.join(middle, by).withColumn("_d", F.abs(F.col(value) - F.col("_m")))
     cut = near.groupBy(*by).agg(F.expr(f"percentile(_d, {share})").alias("_cut"))
-    kept = near.join(cut, by).where(F.col("_d") <= F.greatest(F.lit(floor), F.col("_cut")))
+    kept = near.join(cut, by).where(F.col("_d") <= F.greatest(F.lit(floor), F.col("_cut") + SLACK))
     return kept.groupBy(*by).agg(F.expr(f"percentile({value}, 0.5)").alias("fill"), F.count("*").alias("kept"))
 
 
