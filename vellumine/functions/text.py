@@ -224,25 +224,33 @@ def interval_of(source: pd.Series, candidate: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["start", "end", "quality"]).astype({"start": "Int32", "end": "Int32", "quality": "Float64"})
 
 
-def first_json_object(text: str) -> str | None:
-    """The first JSON object in a text, whatever surrounds it."""
-    decoder, at = json.JSONDecoder(), text.find("{")
+_decoder, _encoder = json.JSONDecoder(), json.JSONEncoder(ensure_ascii=False)
+
+
+def _first_object(text: str) -> tuple[dict, int, int] | None:
+    at = text.find("{")
     while at >= 0:
         try:
-            value, end = decoder.raw_decode(text, at)
+            value, end = _decoder.raw_decode(text, at)
         except ValueError:
             value = None
         if isinstance(value, dict):
-            return text[at:end]
+            return value, at, end
         at = text.find("{", at + 1)
     return None
 
 
+def first_json_object(text: str) -> str | None:
+    """The first JSON object in a text, whatever surrounds it."""
+    found = _first_object(text)
+    return found and text[found[1] : found[2]]
+
+
 @F.pandas_udf(S.StringType())
 def json_object(text: pd.Series) -> pd.Series:
     """The first JSON object in each text, written anew: of a repeated key the last value holds."""
-    found = text.map(lambda x: None if x is None else first_json_object(x))
-    return found.map(lambda x: None if x is None else json.dumps(json.loads(x), ensure_ascii=False))
+    found = (None if x is None else _first_object(x) for x in text)
+    return pd.Series([x and _encoder.encode(x[0]) for x in found], dtype=object)
 
 
 def uncommented(source: str) -> str:

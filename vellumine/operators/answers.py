@@ -25,6 +25,11 @@ def with_objects(df: DataFrame, **contents: Column) -> DataFrame:
     return df.withColumns({name: T.json_object(content) for name, content in contents.items()})
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` worked out once a row, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _object(found: Column) -> Column:
     return F.try_parse_json(found)
 
@@ -40,10 +45,23 @@ def _is_object(item: Column) -> Column:
 
 def _text(item: Column, name: str) -> Column:
     found = F.try_variant_get(item, f"$.{name}", "variant")
-    shown = F.when(F.is_variant_null(found), F.lit("None")).otherwise(F.try_variant_get(item, f"$.{name}", "string"))
+    shown = F.coalesce(F.try_variant_get(item, f"$.{name}", "string"), F.when(F.is_variant_null(found), F.lit("None")))
     return stripped(F.coalesce(shown, F.to_json(found), F.lit("")))
 
 
+def _typed(items: Column, **fields) -> Column:
+    """Whether each item is an object (``ok``), and its fields."""
+    return F.transform(items, lambda e: F.struct(_is_object(e).alias("ok"), *[f(e).alias(n) for n, f in fields.items()]))
+
+
+def _texts(*names: str) -> dict:
+    return {n: lambda e, n=n: _text(e, n) for n in names}
+
+
+def _fields(items: Column, *names: str) -> Column:
+    return F.transform(items, lambda e: F.struct(*[e[n].alias(n) for n in names]))
+
+
 def _whole(item: Column, name: str) -> Column:
     """A field as an integer: numbers are cut, texts have to be whole numbers."""
     kind = F.schema_of_variant(F.try_variant_get(item, f"$.{name}", "variant"))
@@ -59,9 +77,11 @@ def _first(items: Column, message) -> Column:
 
 
 def _firsts(items: Column, key) -> Column:
-    """The items whose key no item before them has."""
-    keys = F.transform(items, key)
-    return F.filter(items, lambda e, k: F.array_position(keys, key(e)) == k + 1)
+    """The items whose key no item before them has: of the sorted ones, those that start a key, in their old order."""
+    numbered = F.array_sort(F.transform(items, lambda e, k: F.struct(key(e).alias("key"), k.alias("k"), e.alias("e"))))
+    starts = lambda n: F.filter(n, lambda x, k: (k == 0) | ~F.get(n, k - 1)["key"].eqNullSafe(x["key"]))
+    order = lambda n: F.array_sort(F.transform(starts(n), lambda x: F.struct(x["k"].alias("k"), x["e"].alias("e"))))
+    return F.transform(_let(numbered, order), lambda x: x["e"])
 
 
 def _answer(error: Column, **fields: Column) -> Column:
@@ -74,6 +94,7 @@ def _numbered(k: Column, what: str, says: str) -> Column:
 
 def study(found: Column) -> Column:
     """``regions`` (id, type, source_text; trimmed, type in lower case), ``skipped`` (JSON) of a reading."""
+    # Nothing is bound by _let here: Spark does not take a Python function out of what is built on that.
     value = _object(found)
     items = _items(value, "regions")
     error = F.coalesce(
@@ -92,20 +113,21 @@ def source_text(regions: Column) -> Column:
 
 def translations(found: Column) -> Column:
     """``translations``: text of each id; the last of an id's texts holds, blank ids and texts are errors."""
-    value = _object(found)
-    items = _items(value, "translations")
 
     def wrong(e: Column, k: Column) -> Column:
-        blank = (_text(e, "id") == "") | (_text(e, "translation") == "")
-        return F.when(~_is_object(e), _numbered(k, "translation", "is not an object")).when(blank, _numbered(k, "translation", "has an empty id or text"))
+        blank = (e["id"] == "") | (e["translation"] == "")
+        return F.when(~e["ok"], _numbered(k, "translation", "is not an object")).when(blank, _numbered(k, "translation", "has an empty id or text"))
+
+    def read(value: Column, items: Column) -> Column:
+        error = F.coalesce(F.when(value.isNull(), "No valid JSON object found").when(items.isNull(), "translation JSON must contain a translations array"), _first(items, wrong))
+        backwards = F.reverse(_fields(items, "id", "translation"))
+        return _answer(error, translations=F.map_from_entries(F.reverse(_firsts(backwards, lambda p: p["id"]))))
 
-    error = F.coalesce(F.when(value.isNull(), "No valid JSON object found").when(items.isNull(), "translation JSON must contain a translations array"), _first(items, wrong))
-    pairs = F.transform(items, lambda e: F.struct(_text(e, "id").alias("id"), _text(e, "translation").alias("translation")))
-    backwards = F.reverse(pairs)
-    return _answer(error, translations=F.map_from_entries(F.reverse(_firsts(backwards, lambda p: p["id"]))))
+    fields = _texts("id", "translation")
+    return _let(_object(found), lambda value: _let(_typed(_items(value, "translations"), **fields), lambda items: read(value, items)))
 
 
-def _issue(e: Column, known: Column, category: Column, why: Column, who: str, lacking: str, region: Column) -> Column:
+def _issue(known: Column, category: Column, why: Column, who: str, lacking: str, region: Column) -> Column:
     return (
         F.when(~known, F.concat(F.lit(f"{who} returned unknown "), region))
         .when(~category.isin(schemas.ISSUE_CATEGORIES), F.concat(F.lit(f"{who} returned invalid category: "), category))
@@ -115,17 +137,17 @@ def _issue(e: Column, known: Column, category: Column, why: Column, who: str, la
 
 def verification(found: Column, expected_ids: Column) -> Column:
     """``issues`` (id, category, explanation, suggested_translation), the first of each id and category."""
-    value = _object(found)
-    items, who = _items(value, "issues"), "Translation verifier"
+    names, who = ("id", "category", "explanation", "suggested_translation"), "Translation verifier"
 
     def wrong(e: Column, k: Column) -> Column:
-        own = _text(e, "id")
-        bad = _issue(e, F.array_contains(expected_ids, own), _text(e, "category"), _text(e, "explanation"), who, "an explanation", F.concat(F.lit("ID: "), own))
-        return F.when(~_is_object(e), f"{who} issue must be an object").otherwise(bad)
+        bad = _issue(F.array_contains(expected_ids, e["id"]), e["category"], e["explanation"], who, "an explanation", F.concat(F.lit("ID: "), e["id"]))
+        return F.when(~e["ok"], f"{who} issue must be an object").otherwise(bad)
+
+    def read(value: Column, items: Column) -> Column:
+        error = F.coalesce(F.when(value.isNull(), "No valid JSON object found").when(items.isNull(), f"{who} JSON must contain an issues array"), _first(items, wrong))
+        return _answer(error, issues=_firsts(_fields(items, *names), lambda i: F.struct(i["id"], i["category"])))
 
-    error = F.coalesce(F.when(value.isNull(), "No valid JSON object found").when(items.isNull(), f"{who} JSON must contain an issues array"), _first(items, wrong))
-    issues = F.transform(items, lambda e: F.struct(*[_text(e, n).alias(n) for n in ("id", "category", "explanation", "suggested_translation")]))
-    return _answer(error, issues=_firsts(issues, lambda i: F.struct(i["id"], i["category"])))
+    return _let(_object(found), lambda value: _let(_typed(_items(value, "issues"), **_texts(*names)), lambda items: read(value, items)))
 
 
 def chapter_review(found: Column, regions: Column) -> Column:
@@ -134,34 +156,45 @@ def chapter_review(found: Column, regions: Column) -> Column:
     ``regions`` are the chapter's (page, id).  Issues of other regions are an
     error; findings of consistency keep only the affected regions that are known.
     """
-    value = _object(found)
-    items, findings, who = _items(value, "issues"), _items(value, "global_consistency"), "Chapter review"
-    known = lambda e: F.array_contains(F.transform(regions, lambda r: F.struct(r["page"].cast("long").alias("page"), r["id"].alias("id"))), F.struct(_whole(e, "page").alias("page"), _text(e, "id").alias("id")))
-
-    def wrong(e: Column, k: Column) -> Column:
-        place = F.concat(F.lit("region: page "), _whole(e, "page").cast("string"), F.lit(" "), _text(e, "id"))
-        bad = _issue(e, known(e), _text(e, "category"), _text(e, "reason"), who, "a reason", place)
-        return F.when(~_is_object(e), f"{who} issue must be an object").when(_whole(e, "page").isNull(), f"{who} issue has an invalid page").otherwise(bad)
-
-    error = F.coalesce(
-        F.when(value.isNull(), "No valid JSON object found").when(items.isNull() | findings.isNull(), f"{who} JSON must contain issues and global_consistency arrays"),
-        _first(items, wrong),
-        _first(findings, lambda e, k: F.when(~_is_object(e), "Global consistency finding must be an object")),
-    )
-    place = lambda e: [_whole(e, "page").cast("int").alias("page"), _text(e, "id").alias("id")]
-    issues = F.transform(items, lambda e: F.struct(*place(e), *[_text(e, n).alias(n) for n in ("category", "suggested_translation", "reason")]))
-    affected = lambda e: F.transform(F.filter(F.coalesce(_items(e, "affected"), F.array().cast("array<variant>")), lambda a: _is_object(a) & F.coalesce(known(a), F.lit(False))), lambda a: F.struct(*place(a)))
-    consistent = F.transform(findings, lambda e: F.struct(*[_text(e, n).alias(n) for n in ("category", "item", "preferred_translation", "reason")], affected(e).alias("affected")))
-    return _answer(error, issues=_firsts(issues, lambda i: F.struct(i["page"], i["id"], i["category"])), global_consistency=consistent)
+    who, texts = "Chapter review", ("category", "suggested_translation", "reason")
+    place = lambda e: F.struct(_whole(e, "page").alias("page"), _text(e, "id").alias("id"))
+    narrow = lambda p: [p["page"].cast("int").alias("page"), p["id"].alias("id")]
+
+    def wrong(known: Column, e: Column) -> Column:
+        region = F.concat(F.lit("region: page "), e["place"]["page"].cast("string"), F.lit(" "), e["place"]["id"])
+        bad = _issue(F.array_contains(known, e["place"]), e["category"], e["reason"], who, "a reason", region)
+        return F.when(~e["ok"], f"{who} issue must be an object").when(e["place"]["page"].isNull(), f"{who} issue has an invalid page").otherwise(bad)
+
+    def affected(known: Column, e: Column) -> Column:
+        places = _typed(F.coalesce(_items(e, "affected"), F.array().cast("array<variant>")), place=place)
+        kept = F.filter(places, lambda a: a["ok"] & F.coalesce(F.array_contains(known, a["place"]), F.lit(False)))
+        return F.transform(kept, lambda a: F.struct(*narrow(a["place"])))
+
+    def read(value: Column, known: Column, items: Column, findings: Column) -> Column:
+        error = F.coalesce(
+            F.when(value.isNull(), "No valid JSON object found").when(items.isNull() | findings.isNull(), f"{who} JSON must contain issues and global_consistency arrays"),
+            _first(items, lambda e, k: wrong(known, e)),
+            _first(findings, lambda e, k: F.when(~_is_object(e), "Global consistency finding must be an object")),
+        )
+        issues = F.transform(items, lambda e: F.struct(*narrow(e["place"]), *[e[n].alias(n) for n in texts]))
+        consistent = F.transform(findings, lambda e: F.struct(*[_text(e, n).alias(n) for n in ("category", "item", "preferred_translation", "reason")], affected(known, e).alias("affected")))
+        return _answer(error, issues=_firsts(issues, lambda i: F.struct(i["page"], i["id"], i["category"])), global_consistency=consistent)
+
+    pairs = F.transform(regions, lambda r: F.struct(r["page"].cast("long").alias("page"), r["id"].alias("id")))
+    typed = lambda value: _typed(_items(value, "issues"), place=place, **_texts(*texts))
+    return _let(_object(found), lambda value: _let(pairs, lambda known: _let(typed(value), lambda items: _let(_items(value, "global_consistency"), lambda findings: read(value, known, items, findings)))))
 
 
 def translation_comparison(call: Column, found: Column, expected_ids: Column) -> Column:
     """``available, error, issues`` of a verifier's call record, which may be null, and the object in its content."""
-    read = verification(found, expected_ids)
-    failed = F.when(F.coalesce(call["error"], F.lit("")) != "", call["error"])
-    error = F.when(call.isNotNull(), F.coalesce(failed, F.when(read["error"].isNotNull(), F.concat(F.lit("invalid_translation_verifier_json: "), read["error"]))))
     none = F.array().cast("array<struct<id:string,category:string,explanation:string,suggested_translation:string>>")
-    return F.struct(call.isNotNull().alias("available"), error.alias("error"), F.when(call.isNotNull() & error.isNull(), read["issues"]).otherwise(none).alias("issues"))
+
+    def compared(read: Column) -> Column:
+        failed = F.when(F.coalesce(call["error"], F.lit("")) != "", call["error"])
+        error = F.when(call.isNotNull(), F.coalesce(failed, F.when(read["error"].isNotNull(), F.concat(F.lit("invalid_translation_verifier_json: "), read["error"]))))
+        return F.struct(call.isNotNull().alias("available"), error.alias("error"), F.when(call.isNotNull() & error.isNull(), read["issues"]).otherwise(none).alias("issues"))
+
+    return _let(verification(found, expected_ids), compared)
 
 
 def study_comparison(primary_found: Column, verifier: Column, verifier_found: Column, threshold: float = 0.97) -> Column:
