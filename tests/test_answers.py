@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from vellumine import schemas
 from vellumine.operators import answers
 
@@ -170,3 +171,11 @@ def test_exact_comparison(spark):
 def test_every_category_is_known(spark, category):
     body = json.dumps({"issues": [{"id": "a", "category": category, "explanation": "e"}]})
     assert answered(spark, [(0, body, ["a"])], "k int, c string, i array<string>", answers.verification(F.col("found"), F.col("i")))[0].error is None
+
+
+@pytest.mark.parametrize("name", ["translation_answers", "verifier_issues", "study_answers", "chapter_issues"])
+def test_an_answer_is_worked_out_once(spark, sf, name):
+    """The plan parses an answer in one place (a reading in one step); it was written out again for each field, item and filter."""
+    plan = entry.queries()[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter ((size(" not in plan and sum("parseJson" in line for line in plan.splitlines()) == 1
+    assert plan.count("parseJson") == 1 or name == "study_answers"
